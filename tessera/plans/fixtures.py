@@ -141,6 +141,15 @@ SELECT event_id AS run_id,
 FROM {events}
 """
 
+# Validation outcomes per corpus row: online check skipped / passed / failed by id % 3.
+VALIDATION_SQL = """
+SELECT c.id, c.description, c.query, c.source,
+  CASE c.id % 3 WHEN 0 THEN NULL WHEN 1 THEN TRUE ELSE FALSE END AS online_ok,
+  CASE WHEN c.id % 3 = 2 THEN 'Neo.ClientError.Statement.SyntaxError: invalid input' END AS online_error,
+  o.o_totalprice / 1e6 AS execution_time
+FROM {corpus} c JOIN {orders} o ON o.o_orderkey = c.id
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
@@ -190,6 +199,10 @@ def result_headers(spark: SparkSession, sf_dir: str, case_col: str = "l_suppkey"
     return run_sql(spark, sf_dir, RESULT_HEADERS_SQL.replace("{case_col}", case_col), records=recs)
 
 
+def validation_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_sql(spark, sf_dir, VALIDATION_SQL, corpus=corpus(spark, sf_dir))
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, RUN_LOG_SQL)
 
@@ -210,6 +223,10 @@ def duck_corpus() -> dict[str, str]:
     return {"corpus": CORPUS_SQL}
 
 
+def duck_validation() -> dict[str, str]:
+    return {"corpus": CORPUS_SQL, "vin": VALIDATION_SQL}
+
+
 def duck_responses() -> dict[str, str]:
     return {"corpus": CORPUS_SQL, "responses": RESPONSES_SQL}
 

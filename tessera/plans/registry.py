@@ -58,6 +58,21 @@ def d_collapse(expr: str) -> str:
     return f"regexp_replace({expr}, '[{D_WS}]+', ' ', 'g')"
 
 
+def d_syntax(q: str, prefix: str = "") -> str:
+    """DuckDB list of the light syntax errors of text ``q`` (keyword, then bracket balances)."""
+    def bal(o, c):
+        return f"((length({q}) - length(replace({q}, '{o}', ''))) - (length({q}) - length(replace({q}, '{c}', ''))))"
+    return (
+        "list_filter(["
+        f"CASE WHEN NOT regexp_matches(upper({q}), 'MATCH|WHERE|RETURN|WITH|OPTIONAL|CREATE|DELETE|SET') "
+        f"THEN '{prefix}No Cypher keywords found' END, "
+        f"CASE WHEN {bal('(', ')')} <> 0 THEN '{prefix}Unbalanced parentheses (difference: ' || {bal('(', ')')} || ')' END, "
+        f"CASE WHEN {bal('[', ']')} <> 0 THEN '{prefix}Unbalanced brackets (difference: ' || {bal('[', ']')} || ')' END, "
+        f"CASE WHEN {bal('{', '}')} <> 0 THEN '{prefix}Unbalanced braces (difference: ' || {bal('{', '}')} || ')' END"
+        "], lambda x: x IS NOT NULL)"
+    )
+
+
 def load_all() -> None:
     """Import every query module so their ``register`` calls run."""
     from . import (  # noqa: F401
