@@ -112,6 +112,16 @@ def syntax_errors(c) -> Column:
     return F.filter(F.array(*msgs), lambda x: x.isNotNull())
 
 
+def syntax_ok(c) -> Column:
+    """True when :func:`syntax_errors` would be empty (cheap form for filters)."""
+    return (
+        has_keyword(c)
+        & (balance(c, "(", ")") == 0)
+        & (balance(c, "[", "]") == 0)
+        & (balance(c, "{", "}") == 0)
+    )
+
+
 def relax_regex_op(c) -> Column:
     """Replace ``=~`` by ``=`` before validating."""
     return F.replace(col(c), F.lit("=~"), F.lit("="))

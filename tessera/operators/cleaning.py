@@ -68,7 +68,8 @@ def cleaned(annotated: DataFrame) -> DataFrame:
 
 def issues(annotated: DataFrame) -> DataFrame:
     """Rows with any issue: index, the raw entry and the issue list."""
-    return annotated.filter(F.size("issues") > 0).select(
+    has_issue = ~F.col("kept") | ~C.syntax_ok("query")
+    return annotated.filter(has_issue).select(
         F.col("id").alias("index"),
         F.struct(
             F.col("raw_description").alias("description"),

@@ -17,54 +17,30 @@ TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# One corpus row per order: id = o_orderkey, twelve templates chosen by o_orderkey % 12,
-# parameter v = o_custkey % 50 so exact and near copies occur.
+# One corpus row per order: id = o_orderkey, one of twelve templates chosen by o_orderkey % 12
+# (a 12-row table joined on that key), parameter $v = o_custkey % 50 so exact and near copies
+# occur, $w = o_custkey % 7.
 CORPUS_SQL = """
-SELECT id,
-  CASE k
-    WHEN 0 THEN 'Find user ' || v
-    WHEN 1 THEN 'list   computers ' || v
-    WHEN 2 THEN 'Find user ' || v
-    WHEN 3 THEN '  Find user ' || v || chr(10)
-    WHEN 4 THEN 'Get' || chr(160) || 'paths ' || v
-    WHEN 5 THEN 'Show shortest ' || v
-    WHEN 6 THEN 'return change ' || v
-    WHEN 7 THEN 'Create node ' || v
-    WHEN 8 THEN '   '
-    WHEN 9 THEN NULL
-    WHEN 10 THEN 'Broken ' || v
-    ELSE 'Prose ' || v
-  END AS description,
-  CASE k
-    WHEN 0 THEN 'MATCH (u:User) WHERE u.name = ''user' || v || ''' RETURN u'
-    WHEN 1 THEN 'match (c:computer) where c.owner = "c' || v || '" return c.name'
-    WHEN 2 THEN 'MATCH  (u:User)' || chr(10) || 'WHERE u.name = ''user' || v || '''   RETURN u'
-    WHEN 3 THEN 'MATCH (U:USER) WHERE U.NAME = ''USER' || v || ''' RETURN U'
-    WHEN 4 THEN 'MATCH p=(u:User)-[:MemberOf*1..3]->(g:Group) WHERE g.name = ''G' || v || ''' RETURN p'
-    WHEN 5 THEN 'MATCH p=shortestPath((u:User {name:''u' || v || '''})-[*1..]->(d:Domain)) '
-             || 'OPTIONAL MATCH (u)-[:AdminTo]->(c:Computer) WITH u, COUNT(c) AS n, '
-             || 'COLLECT(c.name) AS names RETURN u.name, n, names'
-    WHEN 6 THEN 'MATCH (n:User {name:''u' || v || '''}) SET n.owned = true RETURN n'
-    WHEN 7 THEN 'CREATE (n:Computer {name:''c' || v || '''})'
-    WHEN 8 THEN 'MATCH (g:GPO) RETURN g.name LIMIT ' || v
-    WHEN 9 THEN 'MATCH (o:OU)-[:Contains]->(c:Container) RETURN o, c'
-    WHEN 10 THEN 'MATCH (n:CertTemplate {name:''x' || v || ''' RETURN [n.name'
-    ELSE CASE WHEN w = 0 THEN chr(9) || '  '
-         ELSE 'look up names =~ ''abc' || v || '.*'' // note http://example.org/x' || chr(9) END
-  END AS query,
-  CASE
-    WHEN k IN (0, 2) THEN 'https://example.org/q/' || v || '/'
-    WHEN k = 1 THEN 'https://example.org/c/' || v || '/#'
-    WHEN k = 3 THEN '  '
-    WHEN k = 4 THEN 'author ' || w
-    WHEN k = 7 THEN NULL
-    ELSE 'https://example.org/s/' || w
-  END AS source
-FROM (
-  SELECT o_orderkey AS id, o_orderkey % 12 AS k,
-         CAST(o_custkey % 50 AS STRING) AS v, CAST(o_custkey % 7 AS STRING) AS w
-  FROM {orders}
-) t
+SELECT o.o_orderkey AS id,
+  replace(t.d, '$v', CAST(o.o_custkey % 50 AS STRING)) AS description,
+  CASE WHEN t.k = 11 AND o.o_custkey % 7 = 0 THEN chr(9) || '  '
+       ELSE replace(t.q, '$v', CAST(o.o_custkey % 50 AS STRING)) END AS query,
+  replace(t.s, '$w', CAST(o.o_custkey % 7 AS STRING)) AS source
+FROM {orders} o
+JOIN (VALUES
+  (0, 'Find user $v', 'MATCH (u:User) WHERE u.name = ''user$v'' RETURN u', 'https://example.org/q/$w/'),
+  (1, 'list   computers $v', 'match (c:computer) where c.owner = "c$v" return c.name', 'https://example.org/c/$w/#'),
+  (2, 'Find user $v', 'MATCH  (u:User)' || chr(10) || 'WHERE u.name = ''user$v''   RETURN u', 'https://example.org/q/$w/'),
+  (3, '  Find user $v' || chr(10), 'MATCH (U:USER) WHERE U.NAME = ''USER$v'' RETURN U', '  '),
+  (4, 'Get' || chr(160) || 'paths $v', 'MATCH p=(u:User)-[:MemberOf*1..3]->(g:Group) WHERE g.name = ''G$v'' RETURN p', 'author $w'),
+  (5, 'Show shortest $v', 'MATCH p=shortestPath((u:User {name:''u$v''})-[*1..]->(d:Domain)) OPTIONAL MATCH (u)-[:AdminTo]->(c:Computer) WITH u, COUNT(c) AS n, COLLECT(c.name) AS names RETURN u.name, n, names', 'https://example.org/s/$w'),
+  (6, 'return change $v', 'MATCH (n:User {name:''u$v''}) SET n.owned = true RETURN n', 'https://example.org/s/$w'),
+  (7, 'Create node $v', 'CREATE (n:Computer {name:''c$v''})', NULL),
+  (8, '   ', 'MATCH (g:GPO) RETURN g.name LIMIT $v', 'https://example.org/s/$w'),
+  (9, NULL, 'MATCH (o:OU)-[:Contains]->(c:Container) RETURN o, c', 'https://example.org/s/$w'),
+  (10, 'Broken $v', 'MATCH (n:CertTemplate {name:''x$v'' RETURN [n.name', 'https://example.org/s/$w'),
+  (11, 'Prose $v', 'look up names =~ ''abc$v.*'' // note http://example.org/x' || chr(9), 'https://example.org/s/$w')
+) AS t(k, d, q, s) ON o.o_orderkey % 12 = t.k
 """
 
 # The second corpus: documents (description = first line, query = whole text).

@@ -77,4 +77,5 @@ def load_all() -> None:
     """Import every query module so their ``register`` calls run."""
     from . import (  # noqa: F401
         q_cleaning,
+        q_profile,
     )
