@@ -78,4 +78,5 @@ def load_all() -> None:
     from . import (  # noqa: F401
         q_cleaning,
         q_profile,
+        q_text,
     )
