@@ -66,7 +66,8 @@ SELECT c.id AS case_id,
     WHEN 4 THEN replace(replace(upper(c.query), ' ', '  '), '''', '"')
     WHEN 5 THEN 'MATCH p=(u:User)-[:MemberOf*1..3]->(g:Group) WHERE g.name = ''G' || CAST(c.id % 50 AS STRING) || ''' RETURN p'
     ELSE '</think> stray </query> then <query>' || c.query
-  END AS raw_response
+  END AS raw_response,
+  CAST(c.id % 100 AS DOUBLE) / 100 AS generation_time
 FROM {corpus} c
 WHERE c.query IS NOT NULL
 """

@@ -79,4 +79,5 @@ def load_all() -> None:
         q_cleaning,
         q_profile,
         q_text,
+        q_eval,
     )
