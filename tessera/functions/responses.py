@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, py_strip
+from .text import col, let, py_strip
 
 
 def strip_think(c) -> Column:
@@ -25,7 +25,10 @@ def extract_query(c) -> Column:
     tag comes first), lines stripped, blank lines dropped. Untagged: lines stripped; blank lines,
     ``<...>`` lines and ``tags.`` lines dropped; if nothing is left, the stripped text.
     """
-    s = strip_think(c)
+    return let(strip_think(c), _extract_from)
+
+
+def _extract_from(s: Column) -> Column:
     open_at = F.locate("<query>", s)
     close_at = F.locate("</query>", s)
     start0 = open_at - 1 + 7  # 0-based start of the inner text
@@ -47,10 +50,12 @@ def is_generation_error(extracted) -> Column:
 
 def response_status(extracted) -> Column:
     """struct(status, generated_query, generation_error)."""
-    e = col(extracted)
-    err = is_generation_error(e)
-    return F.struct(
-        F.when(err, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
-        F.when(~err, e).alias("generated_query"),
-        F.when(err, e).alias("generation_error"),
-    )
+    def body(e):
+        err = is_generation_error(e)
+        return F.struct(
+            F.when(err, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
+            F.when(~err, e).alias("generated_query"),
+            F.when(err, e).alias("generation_error"),
+        )
+
+    return let(extracted, body)

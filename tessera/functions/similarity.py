@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WORD, WS, col, collapse_ws, py_strip
+from .text import WORD, WS, col, collapse_ws, let, py_strip
 
 # --- fixed values that must equal the reference's -------------------------------------------
 # Characters whose surrounding whitespace is removed, in this order.
@@ -35,7 +35,10 @@ def _java(p: str) -> str:
 def normalize_query(c) -> Column:
     """H1: lower, collapse whitespace, strip, tighten around ( ) [ ] : = < >, single to double
     quotes, drop ``//`` to the end, strip. Null or empty gives ``''``."""
-    q = col(c)
+    return let(c, _normalize)
+
+
+def _normalize(q: Column) -> Column:
     n = py_strip(collapse_ws(F.lower(q)))
     for ch in TIGHT_CHARS:
         esc = "\\" + ch if ch in "()[]" else ch
@@ -53,35 +56,42 @@ def tokenize(normalized) -> Column:
 
 def jaccard(a, b) -> Column:
     """H3: Jaccard of two lists taken as sets; both empty 1.0, one empty 0.0."""
-    a, b = col(a), col(b)
-    inter = F.size(F.array_intersect(a, b))
-    union = F.size(F.array_union(a, b))
-    return (
-        F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0))
-        .when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0))
-        .otherwise(inter / union)
-    )
+    def body(p):
+        a, b = p["a"], p["b"]
+        inter = F.size(F.array_intersect(a, b))
+        union = F.size(F.array_union(a, b))
+        return (
+            F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0))
+            .when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0))
+            .otherwise(inter / union)
+        )
+
+    return let(F.struct(col(a).alias("a"), col(b).alias("b")), body)
 
 
 def structure(normalized) -> Column:
     """H4: struct of the four fragment lists, computed on the normal form normalised again."""
-    n = normalize_query(normalized)
-    fields = []
-    for name, pat in STRUCTURE_PATTERNS.items():
-        frags = F.regexp_extract_all(n, F.lit("(?iu)" + _java(pat)), 1)
-        fields.append(F.transform(frags, lambda x: py_strip(x)).alias(name))
-    return F.struct(*fields)
+    def body(n):
+        fields = []
+        for name, pat in STRUCTURE_PATTERNS.items():
+            frags = F.regexp_extract_all(n, F.lit("(?iu)" + _java(pat)), 1)
+            fields.append(F.transform(frags, lambda x: py_strip(x)).alias(name))
+        return F.struct(*fields)
+
+    return let(normalize_query(normalized), body)
 
 
 def structural_similarity(s1, s2) -> Column:
     """H5: weighted set-Jaccard of the four lists (match .4, where .3, return .2, with .1)."""
-    s1, s2 = col(s1), col(s2)
-    total = F.lit(0.0)
-    total_weight = 0.0
-    for name, w in STRUCTURE_WEIGHTS.items():
-        total = total + jaccard(s1[name], s2[name]) * F.lit(w)
-        total_weight += w
-    return total / F.lit(total_weight)
+    def body(p):
+        total = F.lit(0.0)
+        total_weight = 0.0
+        for name, w in STRUCTURE_WEIGHTS.items():
+            total = total + jaccard(p["s1"][name], p["s2"][name]) * F.lit(w)
+            total_weight += w
+        return total / F.lit(total_weight)
+
+    return let(F.struct(col(s1).alias("s1"), col(s2).alias("s2")), body)
 
 
 def similarity_columns(df, generated: str, truth: str, weights: tuple[float, float, float] = DEFAULT_WEIGHTS):

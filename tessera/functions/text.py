@@ -19,6 +19,17 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Catalyst inlines a derived column into every place that reads it (projections collapsed,
+    filters pushed below projections and joins). A body that reads its input many times would
+    then repeat an expensive producer (regex chains) per reference; binding it once keeps the
+    cost linear whatever the optimiser does with the plan.
+    """
+    return F.element_at(F.transform(F.array(col(value)), body), 1)
+
+
 def py_strip(c) -> Column:
     """Python ``str.strip()``: remove leading and trailing Unicode whitespace."""
     return F.regexp_replace(col(c), rf"^[{WS}]+|[{WS}]+\z", "")
