@@ -80,4 +80,5 @@ def load_all() -> None:
         q_profile,
         q_text,
         q_eval,
+        q_graph,
     )
