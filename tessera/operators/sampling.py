@@ -1,4 +1,4 @@
-"""Seeded splits and samples (F1-F4, and the three-way cut used by training sets).
+"""Seeded splits and samples.
 
 Row order is the md5 of ``'{seed}:{id}'``: the same text in any engine, independent of
 partitioning. Exact split sizes come from dense positions in that order; positions are numbered
@@ -43,15 +43,6 @@ def train_test_split(
     )
 
 
-def split3(df: DataFrame, train: float = 0.8, validation: float = 0.1, seed: int = 42, id_col: str = "id") -> DataFrame:
-    """Three-way cut in the same order: train, then validation, then the rest as test."""
-    r = _ranked(df, seed, id_col, [])
-    n_train = F.floor(F.col("__n") * F.lit(train))
-    n_val = F.floor(F.col("__n") * F.lit(validation))
-    split = F.when(F.col("__pos") < n_train, "train").when(F.col("__pos") < n_train + n_val, "validation").otherwise("test")
-    return r.withColumn("split", split).drop("__key", "__pos", "__n")
-
-
 def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "id", top_k_limit: int = 100_000) -> DataFrame:
     """the n rows first in seeded order; all rows when n >= size.
 

@@ -81,4 +81,5 @@ def load_all() -> None:
         q_text,
         q_eval,
         q_graph,
+        q_sinks,
     )
