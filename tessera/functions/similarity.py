@@ -35,18 +35,20 @@ def _java(p: str) -> str:
 def normalize_query(c) -> Column:
     """H1: lower, collapse whitespace, strip, tighten around ( ) [ ] : = < >, single to double
     quotes, drop ``//`` to the end, strip. Null or empty gives ``''``."""
-    return let(c, _normalize)
+    # Null input runs through the chain as null; empty input stays empty: both give ''.
+    return F.coalesce(_normalize(col(c)), F.lit(""))
 
 
 def _normalize(q: Column) -> Column:
     n = py_strip(collapse_ws(F.lower(q)))
-    for ch in TIGHT_CHARS:
-        esc = "\\" + ch if ch in "()[]" else ch
-        n = F.regexp_replace(n, rf"[{WS}]*{esc}[{WS}]*", ch)
+    # After the collapse the only whitespace left is single U+0020 spaces, so the reference's
+    # eight sequential passes (remove spaces around each of ( ) [ ] : = < >) are one pass that
+    # drops every space next to any of them.
+    marks = "".join("\\" + ch if ch in "()[]" else ch for ch in TIGHT_CHARS)
+    n = F.regexp_replace(n, rf" ?([{marks}]) ?", "$1")
     n = F.regexp_replace(n, r"'([^']*)'", '"$1"')
     n = F.regexp_replace(n, r"(?s)//.*", "")
-    n = py_strip(n)
-    return F.when(q.isNull() | (q == ""), F.lit("")).otherwise(n)
+    return py_strip(n)
 
 
 def tokenize(normalized) -> Column:
