@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from .fixtures import table
 
-EMPTY = F.create_map().cast("map<string,string>")
+def _empty() -> F.Column:
+    return F.create_map().cast("map<string,string>")
 
 
 def _props(*pairs) -> F.Column:
@@ -62,15 +63,15 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
                          _props(("quantity", F.col("l_quantity").cast("string")),
                                 ("line", F.col("l_linenumber").cast("string"))).alias("props"))
     supplied = li.select(k("o", "l_orderkey").alias("src"), k("s", "l_suppkey").alias("dst"),
-                         F.lit("SUPPLIED_BY").alias("type"), EMPTY.alias("props"))
+                         F.lit("SUPPLIED_BY").alias("type"), _empty().alias("props"))
     c_in = t("customer").select(k("c", "c_custkey").alias("src"), k("n", "c_nationkey").alias("dst"))
     s_in = t("supplier").select(k("s", "s_suppkey").alias("src"), k("n", "s_nationkey").alias("dst"))
     n_in = n.select(k("n", "n_nationkey").alias("src"), k("r", "n_regionkey").alias("dst"))
-    ins = c_in.unionByName(s_in).unionByName(n_in).select("src", "dst", F.lit("IN").alias("type"), EMPTY.alias("props"))
+    ins = c_in.unionByName(s_in).unionByName(n_in).select("src", "dst", F.lit("IN").alias("type"), _empty().alias("props"))
     nk = F.col("n_nationkey")
     nxt = n.select(k("n", "n_nationkey").alias("src"),
                    F.explode(F.array((nk * 3 + 1) % 25, (nk + 7) % 25)).alias("to")).select(
-        "src", F.concat(F.lit("n"), F.col("to").cast("string")).alias("dst"), F.lit("NEXT").alias("type"), EMPTY.alias("props"))
+        "src", F.concat(F.lit("n"), F.col("to").cast("string")).alias("dst"), F.lit("NEXT").alias("type"), _empty().alias("props"))
     return placed.unionByName(contains).unionByName(supplied).unionByName(ins).unionByName(nxt)
 
 
