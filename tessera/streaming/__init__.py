@@ -1,0 +1,6 @@
+"""Incremental corpus intake with Structured Streaming.
+
+The reference has no streams; this only lets the batch cleaning pass (B9) run on corpus files
+as they arrive. It is stateless (no watermark needed): duplicates are found by the batch
+operators over the written table.
+"""

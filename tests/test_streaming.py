@@ -1,0 +1,20 @@
+import json
+import os
+import tempfile
+
+from tessera.streaming.corpus_stream import clean_stream
+
+
+def test_clean_stream_available_now(spark):
+    root = tempfile.mkdtemp(prefix="tessera-stream-")
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+    rows = [{"id": 0, "description": "Find users", "query": "MATCH (u:User) RETURN u", "source": "https://a/"},
+            {"id": 1, "description": " ", "query": "MATCH (n) RETURN n", "source": "x"}]
+    with open(os.path.join(src, "part-0.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+    q = clean_stream(spark, src, os.path.join(root, "out"), os.path.join(root, "issues"), os.path.join(root, "ckpt"))
+    q.awaitTermination(120)
+    out = spark.read.parquet(os.path.join(root, "out")).collect()
+    assert [(r.id, r.description, r.source) for r in out] == [(0, "Users", "https://a")]
+    assert spark.read.json(os.path.join(root, "issues")).count() == 1
