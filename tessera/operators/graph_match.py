@@ -79,7 +79,8 @@ def expand_var(starts: DataFrame, edges: DataFrame, types=None, min_hops: int =
         if nxt.isEmpty():
             break
         found = found.unionByName(nxt.withColumn("hops", F.lit(h)))
-        visited = nxt if visited is None else _checkpoint(visited.unionByName(nxt))
+        # a union of checkpointed pieces has shallow lineage: only the new frontier is written
+        visited = nxt if visited is None else visited.unionByName(nxt)
         frontier = nxt
     return found.select("start", F.col("node").alias("end"), F.col("hops").cast("long").alias("hops"))
 
@@ -100,7 +101,7 @@ def _paths(starts: DataFrame, edges: DataFrame, types, max_hops: int, direction:
         if ext.isEmpty():
             break
         reached = reached.unionByName(ext.withColumn("hops", F.lit(h)))
-        visited = _checkpoint(visited.unionByName(ext.select("start", "node").distinct()))
+        visited = visited.unionByName(ext.select("start", "node").distinct())
         cur = ext
     return reached
 
