@@ -67,7 +67,7 @@ def expand_var(starts: DataFrame, edges: DataFrame, types=None, min_hops: int =
     """
     if min_hops not in (0, 1):
         raise ValueError("min_hops must be 0 or 1")
-    d = directed(edges, types, direction).select("node", "other").distinct()
+    d = _checkpoint(directed(edges, types, direction).select("node", "other").distinct())
     frontier = starts.select(F.col(id_col).alias("start"), F.col(id_col).alias("node")).distinct()
     found = frontier.withColumn("hops", F.lit(0)).filter(F.lit(min_hops == 0))
     visited = None
@@ -86,7 +86,7 @@ def expand_var(starts: DataFrame, edges: DataFrame, types=None, min_hops: int =
 
 
 def _paths(starts: DataFrame, edges: DataFrame, types, max_hops: int, direction: str, id_col: str, keep_all: bool):
-    d = directed(edges, types, direction).select("node", "other").distinct()
+    d = _checkpoint(directed(edges, types, direction).select("node", "other").distinct())
     cur = starts.select(F.col(id_col).alias("start"), F.col(id_col).alias("node"),
                         F.array(F.col(id_col)).alias("path"))
     reached = cur.select("start", "node", F.lit(0).alias("hops"), "path")

@@ -23,8 +23,12 @@ def id_bucket(id_col: str, width: int = DEFAULT_WIDTH) -> Column:
     return F.floor(F.col(id_col) / F.lit(width))
 
 
-def hash_bucket(hash_col: str, digits: int = 3) -> Column:
-    """Monotone bucket for a hex hash column: its first ``digits`` hex digits."""
+def hash_bucket(hash_col: str, digits: int = 4) -> Column:
+    """Monotone bucket for a hex hash column: its first ``digits`` hex digits.
+
+    Four digits give 65,536 buckets: about 15M (small) rows per window partition at 10^12 rows,
+    which sorts with spill, and a per-bucket count table of at most 65,536 rows.
+    """
     return F.substring(F.col(hash_col), 1, digits)
 
 
@@ -34,10 +38,12 @@ def with_position(
     bucket: Column,
     name: str = "pos",
     group: Sequence[str] = (),
+    total: str | None = None,
 ) -> DataFrame:
     """Add ``name``: the 0-based rank of each row by ``order`` (within ``group`` if given).
 
     ``order`` must be unique (within the group) and ``bucket`` monotone in ``order``.
+    With ``total``, also add the row count of the group, taken from the same bucket counts.
     """
     group = list(group)
     order = list(order)
@@ -45,7 +51,10 @@ def with_position(
     keyed = df.withColumn(b, bucket)
     counts = keyed.groupBy(*group, b).agg(F.count(F.lit(1)).alias("__n"))
     run = Window.partitionBy(*group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group, b, F.coalesce(F.sum("__n").over(run), F.lit(0)).alias("__off"))
+    cols = [*group, b, F.coalesce(F.sum("__n").over(run), F.lit(0)).alias("__off")]
+    if total:
+        cols.append(F.sum("__n").over(Window.partitionBy(*group)).alias(total))
+    offsets = counts.select(*cols)
     within = Window.partitionBy(*group, b).orderBy(*order)
     numbered = keyed.withColumn("__rn", F.row_number().over(within))
     return (

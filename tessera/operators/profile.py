@@ -18,13 +18,14 @@ def corpus_totals(df: DataFrame) -> DataFrame:
 def frequency(df: DataFrame, col: str, pct: bool = False, missing: str | None = None) -> DataFrame:
     """Rows per value; with ``pct`` the share of all rows in percent.
 
-    The total is a one-row aggregate joined by broadcast (its size is one row by construction).
+    The total is summed from the per-value counts (one row, broadcast by construction), so the
+    input is scanned once.
     """
     c = F.coalesce(F.col(col), F.lit(missing)) if missing is not None else F.col(col)
     counts = df.groupBy(c.alias(col)).agg(F.count(F.lit(1)).alias("count"))
     if not pct:
         return counts
-    total = df.agg(F.count(F.lit(1)).alias("__total"))
+    total = counts.agg(F.sum("count").alias("__total"))  # from the counts: no second scan
     return counts.crossJoin(F.broadcast(total)).select(
         col, "count", (F.col("count") / F.col("__total") * 100.0).alias("percentage")
     )

@@ -21,11 +21,7 @@ def split_key(seed: int, id_col: str = "id") -> Column:
 
 def _ranked(df: DataFrame, seed: int, id_col: str, group: list[str]) -> DataFrame:
     keyed = df.withColumn("__key", split_key(seed, id_col))
-    ranked = with_position(keyed, ["__key", id_col], hash_bucket("__key", 3), name="__pos", group=group)
-    sizes = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    if group:
-        return ranked.join(sizes, group)
-    return ranked.crossJoin(F.broadcast(sizes))
+    return with_position(keyed, ["__key", id_col], hash_bucket("__key"), name="__pos", group=group, total="__size")
 
 
 def train_test_split(
@@ -37,9 +33,9 @@ def train_test_split(
     test_ratio = 1.0 - train_ratio
     group = [stratify] if stratify else []
     r = _ranked(df, seed, id_col, group)
-    n_test = F.ceil(F.col("__n") * F.lit(test_ratio))
+    n_test = F.ceil(F.col("__size") * F.lit(test_ratio))
     return r.withColumn("split", F.when(F.col("__pos") < n_test, "test").otherwise("train")).drop(
-        "__key", "__pos", "__n"
+        "__key", "__pos", "__size"
     )
 
 
@@ -51,14 +47,14 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "id", top_k_li
     keyed = df.withColumn("__key", split_key(seed, id_col))
     if n <= top_k_limit:
         return keyed.orderBy("__key", id_col).limit(n).drop("__key")
-    ranked = with_position(keyed, ["__key", id_col], hash_bucket("__key", 3), name="__pos")
+    ranked = with_position(keyed, ["__key", id_col], hash_bucket("__key"), name="__pos")
     return ranked.filter(F.col("__pos") < n).drop("__key", "__pos")
 
 
 def split_shares(df: DataFrame, split_col: str = "split") -> DataFrame:
     """rows and percentage per split."""
     counts = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.agg(F.count(F.lit(1)).alias("__total"))
+    total = counts.agg(F.sum("rows").alias("__total"))  # from the counts: no second scan
     return counts.crossJoin(F.broadcast(total)).select(
         split_col, "rows", (F.col("rows") / F.col("__total") * 100.0).alias("percentage")
     )
