@@ -130,8 +130,19 @@ FROM {corpus} c JOIN {orders} o ON o.o_orderkey = c.id
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
+# The first column of each driver table is its key; under-partitioned scans are spread on it.
+_KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
+         "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
+         "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
+         "labels": "doc_id", "conversations": "conv_id"}
+_SMALL = {"region", "nation"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    from ..sources.corpus_io import spread
+
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df if name in _SMALL else spread(df, _KEYS[name])
 
 
 def _spark_text(text: str, names: set[str]) -> str:

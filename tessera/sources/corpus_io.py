@@ -128,3 +128,18 @@ def read_dataset(
     if missing:
         raise ValueError(f"Dataset missing required columns: {missing}")
     return df
+
+
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition an input that arrives in fewer partitions than the cluster has cores.
+
+    A single large row group is one scan task, so all per-row work before the first shuffle
+    (regexes over whole texts) would run on one core. Large inputs (many files or row groups)
+    already have enough partitions and pass through untouched. Hashing on ``key`` keeps the
+    placement deterministic for recomputation after a lost executor.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism * 2
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, F.col(key)) if key else df.repartition(want)
