@@ -28,41 +28,56 @@ def property_keys(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nk.union(ek).distinct()
 
 
-def _keys_per(df: DataFrame, group: str, sample: int | None) -> DataFrame:
+def _key_pairs(df: DataFrame, group: str, sample: int | None) -> DataFrame:
+    """Distinct (group, key) pairs in one pass; a group without keys keeps one (group, null)."""
     if sample is not None:
         w = Window.partitionBy(group).orderBy(F.md5("__id"), "__id")
         df = df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= sample)
-    pairs = df.select(group, F.explode(F.map_keys("props")).alias("k")).distinct()
-    names = df.select(group).distinct()
-    keys = pairs.groupBy(group).agg(F.sort_array(F.collect_list("k")).alias("properties"))
-    return names.join(keys, group, "left").select(
-        group, F.coalesce("properties", F.array().cast("array<string>")).alias("properties")
-    )
+    return df.select(group, F.explode_outer(F.map_keys("props")).alias("k")).distinct()
+
+
+def _collect_keys(pairs: DataFrame, group: str) -> DataFrame:
+    # collect_list skips the null key of key-less groups: they get an empty list
+    return pairs.groupBy(group).agg(F.sort_array(F.collect_list("k")).alias("properties"))
+
+
+def node_key_pairs(nodes: DataFrame, sample: int | None = None) -> DataFrame:
+    per = nodes.select(F.col("id").alias("__id"), F.explode("labels").alias("label"), "props")
+    return _key_pairs(per, "label", sample)
+
+
+def relationship_key_pairs(edges: DataFrame, sample: int | None = None) -> DataFrame:
+    per = edges.select(F.concat_ws("|", "src", "dst", "type", F.to_json("props")).alias("__id"),
+                       F.col("type").alias("rel_type"), "props")
+    return _key_pairs(per, "rel_type", sample)
 
 
 def node_properties(nodes: DataFrame, sample: int | None = None) -> DataFrame:
     """L4: per label, the sorted property keys seen (in ``sample`` nodes per label when given,
     chosen by id hash; the reference looks at any 100)."""
-    per = nodes.select(F.col("id").alias("__id"), F.explode("labels").alias("label"), "props")
-    return _keys_per(per, "label", sample)
+    return _collect_keys(node_key_pairs(nodes, sample), "label")
 
 
 def relationship_properties(edges: DataFrame, sample: int | None = None) -> DataFrame:
     """Per relationship type, the sorted property keys seen."""
-    per = edges.select(F.concat_ws("|", "src", "dst", "type", F.to_json("props")).alias("__id"),
-                       F.col("type").alias("rel_type"), "props")
-    return _keys_per(per, "rel_type", sample)
+    return _collect_keys(relationship_key_pairs(edges, sample), "rel_type")
 
 
 def schema_summary(nodes: DataFrame, edges: DataFrame, sample: int | None = None) -> DataFrame:
-    """The five parts as rows ``(kind, name, properties)``."""
-    n = node_properties(nodes, sample).select(F.lit("node_label").alias("kind"), F.col("label").alias("name"), "properties")
-    r = relationship_properties(edges, sample).select(
+    """The five parts as rows ``(kind, name, properties)``.
+
+    Each side is read once into distinct (name, key) pairs; labels, types, per-name keys and
+    all keys are derived from those pairs (the shared aggregate is reused, not recomputed).
+    """
+    np_ = node_key_pairs(nodes, sample)
+    rp = relationship_key_pairs(edges, sample)
+    n = _collect_keys(np_, "label").select(F.lit("node_label").alias("kind"), F.col("label").alias("name"), "properties")
+    r = _collect_keys(rp, "rel_type").select(
         F.lit("relationship_type").alias("kind"), F.col("rel_type").alias("name"), "properties"
     )
-    k = property_keys(nodes, edges).select(
-        F.lit("property_key").alias("kind"), F.col("property_key").alias("name"),
-        F.array().cast("array<string>").alias("properties"),
+    keys = np_.select("k").union(rp.select("k")).filter(F.col("k").isNotNull()).distinct()
+    k = keys.select(
+        F.lit("property_key").alias("kind"), F.col("k").alias("name"), F.array().cast("array<string>").alias("properties")
     )
     return n.unionByName(r).unionByName(k)
 

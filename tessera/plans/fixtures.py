@@ -135,14 +135,16 @@ _KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custke
          "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
          "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
          "labels": "doc_id", "conversations": "conv_id"}
-_SMALL = {"region", "nation"}
+# Tables whose derived rows carry heavy per-row text work (regex chains over queries, documents,
+# response bodies); others are read as they are, since a shuffle would cost more than it saves.
+_TEXT_HEAVY = {"orders", "documents", "events", "conversations", "pages"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_text: bool = True) -> DataFrame:
     from ..sources.corpus_io import spread
 
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df if name in _SMALL else spread(df, _KEYS[name])
+    return spread(df, _KEYS[name]) if spread_text and name in _TEXT_HEAVY else df
 
 
 def _spark_text(text: str, names: set[str]) -> str:

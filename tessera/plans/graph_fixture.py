@@ -24,7 +24,7 @@ def _props(*pairs) -> F.Column:
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = lambda n: table(spark, sf_dir, n)
+    t = lambda n: table(spark, sf_dir, n, spread_text=False)
     cust = t("customer").select(
         F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"), F.array(F.lit("Customer")).alias("labels"),
         _props(("name", F.col("c_name")), ("segment", F.col("c_mktsegment")),
@@ -52,7 +52,7 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = lambda n: table(spark, sf_dir, n)
+    t = lambda n: table(spark, sf_dir, n, spread_text=False)
     k = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     o = t("orders")
     li = t("lineitem")
