@@ -54,6 +54,10 @@ def expand(frontier: DataFrame, edges: DataFrame, types=None, direction: str = "
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's shared ``spark.checkpoint.dir`` (never local)."""
+    from ..plans.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
