@@ -100,3 +100,17 @@ def test_s5_s6_extraction(spark):
     assert one(spark, ex, "Sure:\n<b>\n  MATCH (n)\ntags.x\n") == "Sure:\nMATCH (n)"
     assert one(spark, ex, "<b>\n tags.y") == "<b>\n tags.y"  # nothing left: the stripped text
     assert one(spark, ex, "ERROR: boom") == "ERROR: boom"
+
+
+def test_s3_normal_form_is_a_fixed_point(spark):
+    """The second normalisation of H4 is skipped in H6 because it cannot change the text."""
+    from conftest import SF_SMALL
+    from tessera.plans import fixtures as X
+
+    texts = X.doc_corpus(spark, SF_SMALL).select(F.col("query").alias("x")).unionByName(
+        X.corpus(spark, SF_SMALL).select(F.col("query").alias("x")))
+    n = texts.select(S.normalize_query("x").alias("n"))
+    assert n.filter(S.normalize_query("n") != F.col("n")).count() == 0
+    tricky = ["a '(' b", "'a' 'b", "x = ( y // 'c'", "Σ ΑΣ İ", "a <  > b", "'a // b'"]
+    df = spark.createDataFrame([(t,) for t in tricky], "x string").select(S.normalize_query("x").alias("n"))
+    assert df.filter(S.normalize_query("n") != F.col("n")).count() == 0
