@@ -148,9 +148,15 @@ def unwind(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     return df.withColumn(name or col, F.explode(col))
 
 
-def collect_group(df: DataFrame, key: str, value: str, name: str = "items") -> DataFrame:
-    """Sorted list of values per key (COLLECT); the list is the answer, so it grows with the group."""
-    return df.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias(name))
+def collect_group(df: DataFrame, key: str, value: str, name: str = "item") -> DataFrame:
+    """N11 (COLLECT), as rows: one ``(key, item)`` row per collected value with the group size.
+
+    A list per key would put a whole group into one row (a key may hold a third of the data);
+    rows carry the same content, and the group size comes from a partial aggregate joined back.
+    Sort by ``(key, item)`` when reading for the reference's sorted lists.
+    """
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("group_size"))
+    return df.select(key, F.col(value).alias(name)).join(sizes, key)
 
 
 def count_group(df: DataFrame, key: str) -> DataFrame:

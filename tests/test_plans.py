@@ -45,3 +45,10 @@ def test_scan_is_pruned(spark, queries):
 def test_first_n_is_top_k(spark, queries):
     txt = queries["first_n"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in txt
+
+
+def test_bounded_samples_use_window_group_limit(spark, queries):
+    for k in ("compare_samples", "node_properties_sample"):
+        df = queries[k](spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString(), k
