@@ -385,3 +385,17 @@ SELECT m.id, m.value, g.group_size FROM m JOIN (SELECT value, COUNT(*) AS group_
 ON g.value = m.value""".replace("\n, m AS", "WITH m AS", 1))
 def q_dup_prop(spark, sf_dir):
     return GM.duplicate_property(G.nodes(spark, sf_dir), "Part", "name").select("id", "value", "group_size")
+
+
+@register("graph_value_record_rel", "I", """
+SELECT 'o' || l_orderkey AS src, 'p' || l_partkey AS dst, CAST(l_linenumber AS BIGINT) AS line,
+  to_json(struct_pack(properties := map_from_entries([('line', CAST(l_linenumber AS VARCHAR)),
+                                                     ('quantity', CAST(l_quantity AS VARCHAR))]),
+                      rel_type := 'CONTAINS', type := 'relationship')) AS record
+FROM lineitem""")
+def q_graph_value_record_rel(spark, sf_dir):
+    e = G.edges(spark, sf_dir).filter(F.col("type") == "CONTAINS")
+    r = e.select("src", "dst", F.try_element_at("props", F.lit("line")).cast("long").alias("line"),
+                 RC.rel_record(F.col("type"), F.col("props")).alias("v"))
+    return RC.canonical_record(r.select("src", "dst", "line", "v.*"), ["type", "rel_type", "properties"]).select(
+        "src", "dst", "line", "record")

@@ -141,3 +141,15 @@ def test_shuffle_partitions_do_not_change_results(spark):
 def test_fixture_corpus_grows_with_orders(spark):
     n_orders = X.table(spark, SF_SMALL, "orders").count()
     assert X.corpus(spark, SF_SMALL).count() == n_orders
+
+
+def test_i1_path_record(spark):
+    df = spark.createDataFrame([(["Nation", "Place"], {"name": "N1"}, "NEXT", {})],
+                               "labels array<string>, props map<string,string>, t string, rp map<string,string>")
+    node = RC.node_record(F.col("labels"), F.col("props"))
+    rel = RC.rel_record(F.col("t"), F.col("rp"))
+    p = df.select(RC.path_record(F.array(node, node), F.array(rel)).alias("p")).select("p.*")
+    rec = RC.canonical_record(p, ["type", "length", "nodes", "relationships"]).collect()[0].record
+    n = '{"labels":["Nation","Place"],"properties":{"name":"N1"},"type":"node"}'
+    assert rec == '{"length":1,"nodes":[' + n + "," + n + '],"relationships":[{"properties":{},"rel_type":"NEXT",' \
+                  '"type":"relationship"}],"type":"path"}'
