@@ -189,3 +189,26 @@ def outcome(syntax_valid: Column, cmp_prefix: str = "") -> Column:
         .when(F.col(p + "fuzzy_match"), F.lit("fuzzy"))
         .otherwise(F.lit("mismatch"))
     )
+
+
+def path_records(paths: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """I1 for whole paths: ``paths(start, end, path array<node id>)`` -> ``(start, end, path_value)``.
+
+    Each step is joined to its node record and each consecutive pair to its relationship record
+    (equi-joins on ids: hub nodes are split by AQE skew handling), then the records are put back
+    in path order. A path holds at most ``max_hops + 1`` nodes, so the rebuilt lists are bounded.
+    """
+    steps = paths.select("start", "end", F.posexplode("path").alias("pos", "node"))
+    nrec = nodes.select(F.col("id").alias("node"), node_record(F.col("labels"), F.col("props")).alias("rec"))
+    by_pos = lambda a, b: F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0)
+    ns = steps.join(nrec, "node").groupBy("start", "end").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "rec")), by_pos).alias("ns"))
+    pairs = paths.select("start", "end", F.posexplode(F.arrays_zip(
+        F.slice("path", 1, F.size("path") - 1).alias("a"), F.slice("path", 2, F.size("path") - 1).alias("b"))).alias("pos", "ab"))
+    pairs = pairs.select("start", "end", "pos", F.col("ab.a").alias("src"), F.col("ab.b").alias("dst"))
+    erec = edges.select("src", "dst", rel_record(F.col("type"), F.col("props")).alias("rec")).dropDuplicates(["src", "dst"])
+    rs = pairs.join(erec, ["src", "dst"]).groupBy("start", "end").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "rec")), by_pos).alias("rs"))
+    out = ns.join(rs, ["start", "end"])
+    return out.select("start", "end", path_record(F.transform("ns", lambda x: x["rec"]),
+                                                  F.transform("rs", lambda x: x["rec"])).alias("path_value"))

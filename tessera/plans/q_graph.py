@@ -399,3 +399,30 @@ def q_graph_value_record_rel(spark, sf_dir):
                  RC.rel_record(F.col("type"), F.col("props")).alias("v"))
     return RC.canonical_record(r.select("src", "dst", "line", "v.*"), ["type", "rel_type", "properties"]).select(
         "src", "dst", "line", "record")
+
+
+@register("graph_value_record_path", "I", _SP + """
+, one AS (SELECT start, node AS "end", min(path) AS path FROM sp GROUP BY start, node)
+, steps AS (SELECT start, "end", unnest(path) AS node, unnest(generate_series(1, len(path))) AS pos FROM one)
+, nl AS (SELECT id, list_sort(list(label)) AS labels FROM nlab GROUP BY id)
+, np2 AS (SELECT id, map_from_entries(list_sort(list((key, value)))) AS props FROM nprop GROUP BY id)
+, nrec AS (SELECT s.start, s."end", s.pos, struct_pack(labels := nl.labels,
+             properties := coalesce(np2.props, MAP {}), type := 'node') AS rec
+           FROM steps s JOIN nl ON nl.id = s.node LEFT JOIN np2 ON np2.id = s.node)
+, prs AS (SELECT start, "end", pos, path[pos] AS src, path[pos + 1] AS dst FROM
+           (SELECT start, "end", path, unnest(generate_series(1, len(path) - 1)) AS pos FROM one) t)
+, etype AS (SELECT DISTINCT src, dst, type FROM edge)
+, rrec AS (SELECT p.start, p."end", p.pos, struct_pack(properties := MAP {}, rel_type := e.type, type := 'relationship') AS rec
+           FROM prs p JOIN etype e ON e.src = p.src AND e.dst = p.dst)
+, agg AS (SELECT n.start, n."end",
+   (SELECT list(rec ORDER BY pos) FROM nrec x WHERE x.start = n.start AND x."end" = n."end") AS nodes,
+   (SELECT list(rec ORDER BY pos) FROM rrec y WHERE y.start = n.start AND y."end" = n."end") AS rels
+   FROM (SELECT DISTINCT start, "end" FROM one) n)
+SELECT start, "end", to_json(struct_pack(length := len(rels), nodes := nodes, relationships := rels, type := 'path')) AS record
+FROM agg""")
+def q_graph_value_record_path(spark, sf_dir):
+    n, e = _g(spark, sf_dir)
+    sp = GM.shortest_path(GM.match_nodes(n, "Customer").select("id"), GM.match_nodes(n, "Region").select("id"), e,
+                          ["IN", "NEXT"], 4)
+    p = RC.path_records(sp, n, e).select("start", "end", "path_value.*")
+    return RC.canonical_record(p, ["type", "length", "nodes", "relationships"]).select("start", "end", "record")
