@@ -26,15 +26,20 @@ def evaluate(
     similarity_threshold: float = FS.SIMILARITY_THRESHOLD,
     fuzzy_threshold: float = RC.FUZZY_THRESHOLD,
     weights: tuple[float, float, float] = FS.DEFAULT_WEIGHTS,
+    numbered: bool = True,
 ) -> DataFrame:
     """One row per test case.
 
     Generation errors (``ERROR:`` responses or no response) get syntax_valid false, the error
     text and null scores. The built-in validator is the light syntax check (C3); with
     ``validate_syntax=False`` every generated query counts as valid but is not counted as
-    validated (the reference's counters stay 0 in that mode).
+    validated (the reference's counters stay 0 in that mode). ``numbered=False`` skips the
+    1-based ``test_case_number`` (null then), which aggregate-only reports do not need.
     """
-    numbered = with_position(cases, ["case_id"], id_bucket("case_id"), name="__pos")
+    if numbered:
+        numbered = with_position(cases, ["case_id"], id_bucket("case_id"), name="__pos")
+    else:
+        numbered = cases.withColumn("__pos", F.lit(None).cast("long"))
     resp = responses
     if "generation_time" not in resp.columns:
         resp = resp.withColumn("generation_time", F.lit(0.0))

@@ -105,15 +105,15 @@ def q_compare_samples(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- J
-def _eval_cases(spark, sf_dir, with_results=True):
+def _eval_cases(spark, sf_dir, with_results=True, numbered=True):
     c = X.corpus(spark, sf_dir).filter(F.col("description").isNotNull() & F.col("query").isNotNull())
     cases = c.select(F.col("id").alias("case_id"), "description", F.col("query").alias("ground_truth_query"))
     resp = X.responses(spark, sf_dir)
     if not with_results:
-        return OE.evaluate(cases, resp)
+        return OE.evaluate(cases, resp, numbered=numbered)
     recs = _records(spark, sf_dir, "l_orderkey")
     heads = X.result_headers(spark, sf_dir, "l_orderkey")
-    return OE.evaluate(cases, resp, recs, heads)
+    return OE.evaluate(cases, resp, recs, heads, numbered=numbered)
 
 
 def _d_eval() -> str:
@@ -200,7 +200,7 @@ _REP_DBL = ["average_similarity_score", "average_result_comparison_score", "tota
 @register("eval_report", "J", _d_eval() + "SELECT " + ", ".join(_REP_INT) + ", "
           + ", ".join(f"{d6(c)} AS {c}" for c in _REP_DBL) + " FROM rep")
 def q_eval_report(spark, sf_dir):
-    r = OE.eval_report(_eval_cases(spark, sf_dir))
+    r = OE.eval_report(_eval_cases(spark, sf_dir, numbered=False))
     return r.select(*_REP_INT, *[r6(c).alias(c) for c in _REP_DBL])
 
 
@@ -214,7 +214,7 @@ _RATES = {
 
 @register("eval_rates", "J", _d_eval() + "SELECT " + ", ".join(f"{d6(v)} AS {k}" for k, v in _RATES.items()) + " FROM rep")
 def q_eval_rates(spark, sf_dir):
-    r = OE.eval_rates(OE.eval_report(_eval_cases(spark, sf_dir)))
+    r = OE.eval_rates(OE.eval_report(_eval_cases(spark, sf_dir, numbered=False)))
     return r.select(*[r6(c).alias(c) for c in _RATES])
 
 
@@ -232,7 +232,7 @@ SELECT total_test_cases, successful_generations, generation_errors, syntax_valid
   {_d_round('average_similarity_score', 4)} AS average_similarity_score, {_d_round('total_runtime', 2)} AS total_runtime_seconds,
   {_d_round('atc', 2)} AS average_time_per_case_seconds FROM rt""")
 def q_stats_summary(spark, sf_dir):
-    s = OE.stats_summary(OE.eval_rates(OE.eval_report(_eval_cases(spark, sf_dir))))
+    s = OE.stats_summary(OE.eval_rates(OE.eval_report(_eval_cases(spark, sf_dir, numbered=False))))
     return s.select(*[F.col(c).cast("double").alias(c) if c.endswith(("percent", "seconds", "score")) else c for c in s.columns])
 
 
@@ -254,6 +254,6 @@ SELECT CASE WHEN generation_errors = 0 AND syntax_valid_queries = successful_gen
   {d6('(exact_matches + high_similarity_count) / greatest(total_test_cases, 1) * 100.0')} AS accuracy_rate,
   {d6('average_similarity_score')} AS average_similarity_score FROM rep""")
 def q_verdict(spark, sf_dir):
-    v = OE.verdict(OE.eval_report(_eval_cases(spark, sf_dir)))
+    v = OE.verdict(OE.eval_report(_eval_cases(spark, sf_dir, numbered=False)))
     return v.select("verdict", r6("accuracy_rate").alias("accuracy_rate"),
                     r6("average_similarity_score").alias("average_similarity_score"))
