@@ -153,3 +153,18 @@ def test_i1_path_record(spark):
     n = '{"labels":["Nation","Place"],"properties":{"name":"N1"},"type":"node"}'
     assert rec == '{"length":1,"nodes":[' + n + "," + n + '],"relationships":[{"properties":{},"rel_type":"NEXT",' \
                   '"type":"relationship"}],"type":"path"}'
+
+
+def test_c5_user_validator_runs_in_arrow_batches(spark):
+    from tessera.operators import validation as V
+
+    df = spark.createDataFrame([(0, None, "MATCH (n) RETURN n"), (1, "d", None), (2, "x", "bad")],
+                               "id long, description string, query string")
+
+    def validator(q):
+        return (q.startswith("MATCH"), [] if q.startswith("MATCH") else [f"line 1:0 no viable input '{q[:3]}'"])
+
+    out = {r.id: r for r in V.validate_batch(df, validator).collect()}
+    assert out[0].ok and out[0].description == "Query 1" and out[0].online_ok is None
+    assert not out[1].ok and out[1].query == "" and out[1].errors == ["line 1:0 no viable input ''"]
+    assert out[2].errors == ["line 1:0 no viable input 'bad'"]
