@@ -16,23 +16,32 @@ from ..functions.text import canonical_ws
 from .positions import id_bucket, with_position
 
 
-def _keyed(df: DataFrame, key: Column, id_col: str) -> DataFrame:
-    return df.withColumn("dup_key", F.md5(key)).withColumn("__id", F.col(id_col))
+def _keyed(df: DataFrame, key: Column, id_col: str, materialize: bool = True) -> DataFrame:
+    """(dup_key, __id) for every row. With ``materialize`` the small projection is checkpointed
+    into the shared checkpoint folder, so the text is read and canonicalised once even though
+    group sizes and group members both read the keys."""
+    k = df.select(F.md5(key).alias("dup_key"), F.col(id_col).alias("__id"))
+    if not materialize:
+        return k
+    from ..plans.session import ensure_checkpoint_dir
 
+    ensure_checkpoint_dir(df.sparkSession)
+    return k.checkpoint(eager=True)
 
-def find_duplicates(df: DataFrame, query_col: str = "query", id_col: str = "id") -> DataFrame:
+
+def find_duplicates(df: DataFrame, query_col: str = "query", id_col: str = "id", materialize: bool = True) -> DataFrame:
     """Members of every canonical-query group with more than one row: (dup_key, id, group_size).
 
     The canonical form collapses whitespace and keeps case (``' '.join(q.split())``).
     """
-    k = _keyed(df, canonical_ws(query_col), id_col)
+    k = _keyed(df, canonical_ws(query_col), id_col, materialize)
     groups = k.groupBy("dup_key").agg(F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
     return k.join(groups, "dup_key").select("dup_key", F.col("__id").alias(id_col), "group_size")
 
 
-def duplicate_report(df: DataFrame, query_col: str = "query", id_col: str = "id") -> DataFrame:
+def duplicate_report(df: DataFrame, query_col: str = "query", id_col: str = "id", materialize: bool = True) -> DataFrame:
     """Per duplicate group, the kept (lowest) index and one row per removed index."""
-    k = _keyed(df, canonical_ws(query_col), id_col)
+    k = _keyed(df, canonical_ws(query_col), id_col, materialize)
     groups = k.groupBy("dup_key").agg(F.min("__id").alias("keep_index"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     return k.join(groups, "dup_key").filter(F.col("__id") != F.col("keep_index")).select(
         "dup_key", "keep_index", F.col("__id").alias("remove_index")
