@@ -55,15 +55,20 @@ def dedup(df: DataFrame, query_col: str = "query", id_col: str = "id") -> DataFr
     return k.groupBy("dup_key").agg(F.min_by(F.struct(*cols), F.col(id_col)).alias("row")).select("row.*")
 
 
-def duplicate_pairs(cleaned: DataFrame, field: str = "query", id_col: str = "id") -> DataFrame:
+def duplicate_pairs(cleaned: DataFrame, field: str = "query", id_col: str = "id", materialize: bool = True) -> DataFrame:
     """(first, duplicate) pairs on the md5 of the lower-cased field.
 
     Positions are places in the cleaned list (ordered by id); ids are returned too.
     kind is ``exact_query_match`` or ``exact_description_match``.
     """
     kind = f"exact_{field}_match"
-    p = with_position(cleaned.select(id_col, field), [id_col], id_bucket(id_col), name="pos")
-    p = p.withColumn("h", F.md5(F.lower(F.col(field))))
+    base = cleaned.select(id_col, F.md5(F.lower(F.col(field))).alias("h"))
+    if materialize:  # positions and first-of-group both read it: compute the cleaned rows once
+        from ..plans.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(cleaned.sparkSession)
+        base = base.checkpoint(eager=True)
+    p = with_position(base, [id_col], id_bucket(id_col), name="pos")
     first = p.groupBy("h").agg(F.min_by(F.struct("pos", id_col), F.col("pos")).alias("f"))
     return p.join(first, "h").filter(F.col("pos") > F.col("f.pos")).select(
         F.col("f.pos").alias("first_pos"),
