@@ -340,14 +340,14 @@ AS_OF = "2024-01-31 00:00:00"
 @register("recent_window", "N", f"""
 SELECT event_id FROM events WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AND ts <= TIMESTAMP '{AS_OF}'""")
 def q_recent(spark, sf_dir):
-    return GM.recent(X.table(spark, sf_dir, "events"), "ts", 7, AS_OF).select("event_id")
+    return GM.recent(X.table(spark, sf_dir, "events", spread_text=False), "ts", 7, AS_OF).select("event_id")
 
 
 @register("off_hours", "N", """
 SELECT event_id, CASE WHEN dayofweek(ts) IN (0, 6) THEN 'weekend' ELSE 'night' END AS reason FROM events
 WHERE dayofweek(ts) IN (0, 6) OR hour(ts) < 8 OR hour(ts) >= 20""")
 def q_off_hours(spark, sf_dir):
-    return GM.off_hours(X.table(spark, sf_dir, "events"), "ts").select("event_id", "reason")
+    return GM.off_hours(X.table(spark, sf_dir, "events", spread_text=False), "ts").select("event_id", "reason")
 
 
 @register("regex_match", "N", "SELECT 'p' || p_partkey AS id FROM part WHERE regexp_full_match(p_name, 'blue .*')")
@@ -358,7 +358,7 @@ def q_regex(spark, sf_dir):
 
 @register("first_n", "N", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 def q_first_n(spark, sf_dir):
-    o = X.table(spark, sf_dir, "orders")
+    o = X.table(spark, sf_dir, "orders", spread_text=False)
     return GM.first_n(o, [F.desc("o_totalprice"), F.asc("o_orderkey")], 10).select("o_orderkey", "o_totalprice")
 
 
@@ -367,7 +367,7 @@ SELECT user_id, COUNT(*) AS n_events FROM events WHERE event_type IN ('signup',
   AND ts > TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AND ts <= TIMESTAMP '{AS_OF}'
 GROUP BY user_id HAVING COUNT(*) > 3""")
 def q_churn(spark, sf_dir):
-    e = X.table(spark, sf_dir, "events")
+    e = X.table(spark, sf_dir, "events", spread_text=False)
     return GM.churn(e, "user_id", "ts", ["signup", "purchase"], "event_type", 30, 3, AS_OF)
 
 
