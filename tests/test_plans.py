@@ -52,3 +52,36 @@ def test_bounded_samples_use_window_group_limit(spark, queries):
         df = queries[k](spark, SF_SMALL)
         df.write.format("noop").mode("overwrite").save()
         assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString(), k
+
+
+def test_hot_key_third_of_rows_partial_aggregation(spark):
+    """One case holds a third of all records: results equal brute force and both aggregations
+    are partial before their shuffle (a hot key sends one row per map task)."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators import dedup as D
+    from tessera.operators import result_compare as RC
+
+    n = 30000
+    rows = [(0 if i % 3 == 0 else i, "truth" if i % 2 else "generated", f'{{"v":{i % 97}}}') for i in range(n)]
+    recs = spark.createDataFrame(rows, "case_id long, side string, record string").repartition(8)
+    cases = sorted({r[0] for r in rows})
+    heads = spark.createDataFrame([(c, s, True, None, 0) for c in cases for s in ("truth", "generated")],
+                                  "case_id long, side string, success boolean, error string, record_count long")
+    out = RC.compare(recs, heads)
+    hot = out.filter("case_id = 0").collect()[0]
+    t = {r[2] for r in rows if r[0] == 0 and r[1] == "truth"}
+    g = {r[2] for r in rows if r[0] == 0 and r[1] == "generated"}
+    assert (hot.common_records, hot.missing_records, hot.extra_records) == (len(t & g), len(t - g), len(g - t))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "partial_count" in plan
+
+    docs = spark.createDataFrame([(i, "same text" if i % 3 == 0 else f"t{i}") for i in range(n)], "id long, query string")
+    kept = D.dedup(docs)
+    assert kept.filter(F.col("query") == "same text").collect()[0].id == 0
+    assert "partial_min_by" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_reach_the_scan(spark, queries):
+    txt = queries["recent_window"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts" in txt
