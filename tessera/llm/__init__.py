@@ -1,0 +1,10 @@
+"""Operators of a training-data pipeline over web text: extraction, dedup, quality, mixing.
+
+Functions that run inside tasks travel with the job, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

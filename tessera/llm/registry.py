@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dedup, quality_rules, secrets
+from . import decontaminate, html_wrapper, lang_id, line_dedup, mixing, near_dedup, quality_lm, quality_rules, repeats, secrets
 from .common import table
 from .oracles import ORACLE
 
 OP9 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
 
+def op1_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components_of(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -21,6 +25,27 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.find(table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_lm.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "perplexity", "score", "limit", "kept")
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select(OP9)
 
@@ -30,7 +55,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_minhash_near_dedup, op3_mix_sources, op9_quality_rules, op10_secret_scan)}
+    return {f.__name__: f for f in (
+        op1_html_wrapper, op2_minhash_near_dedup, op3_mix_sources, op4_repeated_passages, op5_language_id,
+        op6_quality_classifier, op7_decontaminate, op8_line_dedup, op9_quality_rules, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

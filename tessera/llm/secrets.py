@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,7 +35,6 @@ IDENTIFIER = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[
 KEYWORDS = ("passw", "secret", "token", "api")
 
 
-@lru_cache(maxsize=4)
 def encoding(path: str):
     """The vocabulary as a tiktoken encoding without special tokens."""
     import tiktoken
