@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_ws
-from .positions import id_bucket, with_position
+from .positions import id_buckets, with_position
 
 
 def _keyed(df: DataFrame, key: Column, id_col: str, materialize: bool = True) -> DataFrame:
@@ -49,10 +49,15 @@ def duplicate_report(df: DataFrame, query_col: str = "query", id_col: str = "id"
 
 
 def dedup(df: DataFrame, query_col: str = "query", id_col: str = "id") -> DataFrame:
-    """D3: keep the lowest-index row of every canonical-query group (one shuffle, no join)."""
-    cols = df.columns
-    k = df.withColumn("dup_key", F.md5(canonical_ws(query_col)))
-    return k.groupBy("dup_key").agg(F.min_by(F.struct(*cols), F.col(id_col)).alias("row")).select("row.*")
+    """D3: keep the lowest-index row of every canonical-query group (``id_col`` is unique).
+
+    The least id per key is a hash aggregate over (key, id); the ids that go are removed from the
+    wide rows by an anti-join, whose small side AQE picks at run time.
+    """
+    k = _keyed(df, canonical_ws(query_col), id_col, materialize=False)
+    keep = k.groupBy("dup_key").agg(F.min("__id").alias("keep"))
+    gone = k.join(keep, "dup_key").filter(F.col("__id") != F.col("keep")).select(F.col("__id").alias(id_col))
+    return df.join(gone, id_col, "left_anti").select(df.columns)
 
 
 def duplicate_pairs(cleaned: DataFrame, field: str = "query", id_col: str = "id", materialize: bool = True) -> DataFrame:
@@ -68,12 +73,12 @@ def duplicate_pairs(cleaned: DataFrame, field: str = "query", id_col: str = "id"
 
         ensure_checkpoint_dir(cleaned.sparkSession)
         base = base.checkpoint(eager=True)
-    p = with_position(base, [id_col], id_bucket(id_col), name="pos")
-    first = p.groupBy("h").agg(F.min_by(F.struct("pos", id_col), F.col("pos")).alias("f"))
-    return p.join(first, "h").filter(F.col("pos") > F.col("f.pos")).select(
-        F.col("f.pos").alias("first_pos"),
-        F.col("pos").alias("dup_pos"),
-        F.col(f"f.{id_col}").alias("first_id"),
-        F.col(id_col).alias("dup_id"),
-        F.lit(kind).alias("kind"),
+    # positions rise with ids: the first of a group is its least id, a hash aggregate
+    first = base.groupBy("h").agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = base.join(first, "h").filter(F.col(id_col) > F.col("first_id")).select("first_id", F.col(id_col).alias("dup_id"))
+    at = with_position(base.select(id_col), [id_col], id_buckets(id_col), name="pos")
+    return (
+        pairs.join(at.select(F.col(id_col).alias("first_id"), F.col("pos").alias("first_pos")), "first_id")
+        .join(at.select(F.col(id_col).alias("dup_id"), F.col("pos").alias("dup_pos")), "dup_id")
+        .select("first_pos", "dup_pos", "first_id", "dup_id", F.lit(kind).alias("kind"))
     )

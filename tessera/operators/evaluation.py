@@ -14,7 +14,7 @@ from ..functions import cleaning as FC
 from ..functions import responses as FR
 from ..functions import similarity as FS
 from . import result_compare as RC
-from .positions import id_bucket, with_position
+from .positions import id_buckets, with_position
 
 
 def evaluate(
@@ -37,7 +37,8 @@ def evaluate(
     1-based ``test_case_number`` (null then), which aggregate-only reports do not need.
     """
     if numbered:
-        numbered = with_position(cases, ["case_id"], id_bucket("case_id"), name="__pos")
+        at = with_position(cases.select("case_id"), ["case_id"], id_buckets("case_id"), name="__pos")
+        numbered = cases.join(at, "case_id")
     else:
         numbered = cases.withColumn("__pos", F.lit(None).cast("long"))
     resp = responses
@@ -53,15 +54,18 @@ def evaluate(
         "generation_error",
         F.when(F.col("raw_response").isNull(), F.lit("no response")).when(err, F.col("__e")),
     )
+    # a missing response stands for an exception of the generating call
+    failed = F.array(F.when(F.col("raw_response").isNull(), F.lit("Generation failed with exception"))
+                     .otherwise(F.lit("Generation failed")))
     if validate_syntax:
         errs = FC.syntax_errors("generated_query")
         j = j.withColumn(
             "syntax_errors",
-            F.when(err, F.array(F.lit("Generation failed"))).otherwise(errs),
-        ).withColumn("syntax_valid", ~err & (F.size(errs) == 0)).withColumn("validated", ~err)
+            F.when(err, failed).otherwise(errs),
+        ).withColumn("syntax_valid", F.size("syntax_errors") == 0).withColumn("validated", ~err)
     else:
         j = j.withColumn(
-            "syntax_errors", F.when(err, F.array(F.lit("Generation failed"))).otherwise(F.array().cast("array<string>"))
+            "syntax_errors", F.when(err, failed).otherwise(F.array().cast("array<string>"))
         ).withColumn("syntax_valid", ~err).withColumn("validated", F.lit(False))
     j = FS.similarity_columns(j, "generated_query", "ground_truth_query", weights)
     j = j.withColumn(
@@ -135,14 +139,29 @@ def _round(c, digits: int):
     return F.floor(F.col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
+def with_run(report: DataFrame, timestamp: str, provider: str, model: str, validate_syntax: bool = True,
+             similarity_threshold: float = FS.SIMILARITY_THRESHOLD, compared: bool = True,
+             fuzzy_threshold: float = RC.FUZZY_THRESHOLD) -> DataFrame:
+    """The run's metadata in front of a report row; the time is a parameter, never the clock."""
+    return report.select(
+        F.lit(timestamp).alias("evaluation_timestamp"), F.lit(provider).alias("llm_provider"), F.lit(model).alias("llm_model"),
+        F.lit(validate_syntax).alias("syntax_validation_enabled"), F.lit(similarity_threshold).alias("similarity_threshold"),
+        F.lit(compared).alias("result_comparison_enabled"), F.lit(fuzzy_threshold).alias("result_fuzzy_threshold"), "*")
+
+
+RUN_FIELDS = ["evaluation_timestamp", "llm_provider", "llm_model", "syntax_validation_enabled", "similarity_threshold"]
+
+
 def stats_summary(rates: DataFrame) -> DataFrame:
-    """The summary record: percentages to 2 digits, scores to 4, times to 2."""
+    """The summary record: percentages to 2 digits, scores to 4, times to 2, and the run's
+    metadata where the report has it (``with_run``)."""
     keep = [
         "total_test_cases", "successful_generations", "generation_errors", "syntax_valid_queries",
         "syntax_invalid_queries", "exact_matches", "high_similarity_count", "medium_similarity_count",
         "low_similarity_count",
     ]
     return rates.select(
+        *[c for c in RUN_FIELDS if c in rates.columns],
         *keep,
         _round("syntax_success_rate", 2).alias("syntax_success_rate_percent"),
         _round("accuracy_rate", 2).alias("accuracy_rate_percent"),

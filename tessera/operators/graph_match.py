@@ -3,8 +3,11 @@
 The reference hands these to a graph database; here a graph is ``nodes(id, labels, props)`` and
 ``edges(src, dst, type, props)`` and every hop is an equi-join on a node id. Hub nodes (one id
 holding a large share of edges) are split by AQE's skew-join handling. Multi-hop operators
-iterate on the driver only to build one join per hop (``max_hops`` is required) and cut the
-lineage each hop with ``checkpoint()`` into the session's shared checkpoint folder.
+iterate on the driver only to build one join per hop and cut the lineage each hop with
+``checkpoint()`` into the session's shared checkpoint folder. ``max_hops`` has no default; ``None``
+goes on until no new pair is found. The work is per distinct start: pass each distinct place once
+(say the nodes after a first hop) and join the origins to the result, instead of walking from every
+origin.
 """
 
 from __future__ import annotations
@@ -61,46 +64,60 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def expand_var(starts: DataFrame, edges: DataFrame, types=None, min_hops: int = 1, max_hops: int = 3,
+def _hops(first: int, max_hops: int | None):
+    h = first
+    while max_hops is None or h <= max_hops:
+        yield h
+        h += 1
+
+
+def expand_var(starts: DataFrame, edges: DataFrame, types=None, *, min_hops: int = 1, max_hops: int | None,
                direction: str = "out", id_col: str = "id") -> DataFrame:
-    """Variable-length reachability: distinct (start, end) with the least hop count.
+    """Variable-length reachability: distinct (start, end) with the least hop count >= ``min_hops``.
 
-    Breadth-first: each hop joins the frontier to the edges and removes pairs already reached
-    (left anti join), so cycles terminate. The visited set starts empty: the start node is
-    reported only when a cycle leads back to it, or at hop 0 when ``min_hops`` is 0.
+    Breadth-first: each hop joins the frontier to the edges. Below ``min_hops`` the frontier holds
+    all pairs joined by a walk of just that length; from there on, pairs already found are removed
+    (left anti join), so cycles terminate. The start itself is reported when a cycle leads back to
+    it, or at hop 0 when ``min_hops`` is 0.
     """
-    if min_hops not in (0, 1):
-        raise ValueError("min_hops must be 0 or 1")
+    if min_hops < 0:
+        raise ValueError("min_hops must be 0 or more")
     d = _checkpoint(directed(edges, types, direction).select("node", "other").distinct())
     frontier = starts.select(F.col(id_col).alias("start"), F.col(id_col).alias("node")).distinct()
     found = frontier.withColumn("hops", F.lit(0)).filter(F.lit(min_hops == 0))
-    visited = None
-    for h in range(1, max_hops + 1):
+    visited = frontier if min_hops == 0 else None
+    for h in _hops(1, max_hops):
         nxt = frontier.join(d, "node").select("start", F.col("other").alias("node")).distinct()
         if visited is not None:
             nxt = nxt.join(visited, ["start", "node"], "left_anti")
         nxt = _checkpoint(nxt)
         if nxt.isEmpty():
             break
-        found = found.unionByName(nxt.withColumn("hops", F.lit(h)))
-        # a union of checkpointed pieces has shallow lineage: only the new frontier is written
-        visited = nxt if visited is None else visited.unionByName(nxt)
+        if h >= min_hops:
+            found = found.unionByName(nxt.withColumn("hops", F.lit(h)))
+            # a union of checkpointed pieces has shallow lineage: only the new frontier is written
+            visited = nxt if visited is None else visited.unionByName(nxt)
         frontier = nxt
     return found.select("start", F.col("node").alias("end"), F.col("hops").cast("long").alias("hops"))
 
 
-def _paths(starts: DataFrame, edges: DataFrame, types, max_hops: int, direction: str, id_col: str, keep_all: bool):
-    d = _checkpoint(directed(edges, types, direction).select("node", "other").distinct())
+def _paths(starts: DataFrame, steps: DataFrame, max_hops: int | None, id_col: str, keep_all: bool):
+    """Paths from each start that reach a node first at their length, as (start, node, hops, walk).
+
+    ``steps(node, other, rel)``; a walk is the nodes, and the relationship taken to each but the
+    first. With ``keep_all`` every such path is kept, else the smallest per (start, node).
+    """
+    none = F.lit(None).cast(steps.schema["rel"].dataType)
     cur = starts.select(F.col(id_col).alias("start"), F.col(id_col).alias("node"),
-                        F.array(F.col(id_col)).alias("path"))
-    reached = cur.select("start", "node", F.lit(0).alias("hops"), "path")
+                        F.array(F.struct(F.col(id_col).alias("node"), none.alias("rel"))).alias("walk")).distinct()
+    reached = cur.select("start", "node", F.lit(0).alias("hops"), "walk")
     visited = cur.select("start", "node")
-    for h in range(1, max_hops + 1):
-        ext = cur.join(d, "node").select("start", F.col("other").alias("node"),
-                                         F.concat("path", F.array("other")).alias("path"))
+    for h in _hops(1, max_hops):
+        ext = cur.join(steps, "node").select("start", F.col("other").alias("node"),
+                                             F.concat("walk", F.array(F.struct(F.col("other").alias("node"), "rel"))).alias("walk"))
         ext = ext.join(visited, ["start", "node"], "left_anti")
         if not keep_all:
-            ext = ext.groupBy("start", "node").agg(F.min("path").alias("path"))
+            ext = ext.groupBy("start", "node").agg(F.min("walk").alias("walk"))
         ext = _checkpoint(ext)
         if ext.isEmpty():
             break
@@ -110,26 +127,57 @@ def _paths(starts: DataFrame, edges: DataFrame, types, max_hops: int, direction:
     return reached
 
 
-def shortest_path(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, max_hops: int = 4,
+def _reach(starts, ends, steps, max_hops, id_col, keep_all, min_hops=1) -> DataFrame:
+    r = _paths(starts, steps, max_hops, id_col, keep_all)
+    e = ends.select(F.col(id_col).alias("node")).distinct()
+    return r.join(e, "node", "left_semi").filter(F.col("hops") >= min_hops).select(
+        "start", F.col("node").alias("end"), F.col("hops").cast("long").alias("hops"), "walk")
+
+
+def _plain_steps(edges: DataFrame, types, direction: str) -> DataFrame:
+    d = directed(edges, types, direction).select("node", "other").distinct()
+    return _checkpoint(d.withColumn("rel", F.lit(None).cast("string")))
+
+
+def _nodes_of(walk: str = "walk") -> Column:
+    return F.transform(walk, lambda x: x["node"]).alias("path")
+
+
+def shortest_path(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, *, max_hops: int | None,
                   direction: str = "out", id_col: str = "id") -> DataFrame:
     """One shortest path per reachable (start, end); ties go to the smallest node sequence.
 
     Keeping the smallest path per (start, node) at each depth is exact: paths of one depth are
     compared prefix first.
     """
-    r = _paths(starts, edges, types, max_hops, direction, id_col, keep_all=False)
-    e = ends.select(F.col(id_col).alias("node")).distinct()
-    return r.join(e, "node", "left_semi").filter(F.col("hops") > 0).select(
-        "start", F.col("node").alias("end"), F.col("hops").cast("long").alias("hops"), "path")
+    r = _reach(starts, ends, _plain_steps(edges, types, direction), max_hops, id_col, keep_all=False)
+    return r.select("start", "end", "hops", _nodes_of())
 
 
-def all_shortest_paths(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, max_hops: int = 4,
+def all_shortest_paths(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, *, max_hops: int | None,
                        direction: str = "out", id_col: str = "id") -> DataFrame:
-    """Every path of minimum length per reachable (start, end)."""
-    r = _paths(starts, edges, types, max_hops, direction, id_col, keep_all=True)
-    e = ends.select(F.col(id_col).alias("node")).distinct()
-    return r.join(e, "node", "left_semi").filter(F.col("hops") > 0).select(
-        "start", F.col("node").alias("end"), F.col("hops").cast("long").alias("hops"), "path")
+    """Every path (node sequence) of minimum length per reachable (start, end)."""
+    r = _reach(starts, ends, _plain_steps(edges, types, direction), max_hops, id_col, keep_all=True)
+    return r.select("start", "end", "hops", _nodes_of())
+
+
+def shortest_walks(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, *, max_hops: int | None,
+                   direction: str = "out", id_col: str = "id", every: bool = True, min_hops: int = 0) -> DataFrame:
+    """Shortest paths with the relationships taken: (start, end, hops, walk array<(node, rel)>).
+
+    ``rel`` is the relationship's (type, props as sorted entries, copy, back); parallel relationships give
+    a path each. With ``every=False`` one path per (start, end), the smallest by nodes, then by
+    relationships. Zero-hop paths (start = end) are included unless ``min_hops`` is 1.
+    """
+    # equal relationships between the same nodes are numbered, so each is a step of its own
+    alike = (_typed(edges, types).select("src", "dst", "type", F.array_sort(F.map_entries("props")).alias("props"))
+             .groupBy("src", "dst", "type", "props").agg(F.count(F.lit(1)).alias("n")))
+    e = alike.select("src", "dst", "type", "props", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
+    rel = lambda back: F.struct("type", "props", "copy", F.lit(back).alias("back")).alias("rel")
+    out = e.select(F.col("src").alias("node"), F.col("dst").alias("other"), rel(False))
+    inc = e.select(F.col("dst").alias("node"), F.col("src").alias("other"), rel(True))
+    steps = {"out": out, "in": inc, "both": out.unionByName(inc)}[direction]
+    return _reach(starts, ends, _checkpoint(steps), max_hops, id_col, keep_all=every, min_hops=min_hops)
 
 
 def degree_filter(edges: DataFrame, types, min_exclusive: int, direction: str = "out") -> DataFrame:
@@ -183,7 +231,7 @@ def off_hours(df: DataFrame, ts: str, start_hour: int = 8, end_hour: int = 20) -
 def regex_match(c, pattern: str) -> Column:
     """Cypher ``=~``: the whole string matches ``pattern``."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.rlike(f"^(?:{pattern})$")
+    return c.rlike(rf"\A(?:{pattern})\z")
 
 
 def first_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

@@ -1,11 +1,15 @@
 """Dense row positions without a global sort into one task.
 
-The reference numbers rows by their place in a Python list. Here the order key is cut into
-buckets by a monotone bucket expression (``floor(id / width)`` for unique integer ids, or the
-leading hex digits of a hash). Rows are numbered inside their bucket by a window partitioned on
-the bucket, and a running total over the per-bucket counts (one row per bucket, the only
-unpartitioned window) gives each bucket its offset. With unique ids a bucket never holds more
-than ``width`` rows, so no task sees more than that, whatever the key skew.
+The reference numbers rows by their place in a Python list. Here the order key is cut into nested
+levels of buckets by monotone expressions. Rows are numbered inside the finest bucket by a window
+partitioned on it; the counts of each level give every bucket its offset within its parent, by
+windows partitioned on the parent. Only the coarsest level has an unpartitioned window.
+
+Integer ids are cut by radix: 2^20 ids in the finest bucket and at most 2^11 buckets below each
+parent, whatever the spread of the ids over 64 bits. So no task sees more than 2^20 rows or 2^11
+bucket counts of a parent, for dense and for sparse ids alike.
+
+Only narrow columns should be numbered; join the wide rows to the result.
 """
 
 from __future__ import annotations
@@ -15,12 +19,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_WIDTH = 1 << 20
+# Bits below each level's bucket, coarse to fine: 64 bits in steps of 11, then 2^20 ids.
+ID_SHIFTS = (53, 42, 31, 20)
 
 
-def id_bucket(id_col: str, width: int = DEFAULT_WIDTH) -> Column:
-    """Monotone bucket for a unique integer id."""
-    return F.floor(F.col(id_col) / F.lit(width))
+def id_buckets(id_col: str) -> list[Column]:
+    """Nested monotone buckets of a unique integer id, coarse to fine."""
+    return [F.shiftright(F.col(id_col).cast("long"), k) for k in ID_SHIFTS]
 
 
 def hash_bucket(hash_col: str, digits: int = 4) -> Column:
@@ -35,30 +40,34 @@ def hash_bucket(hash_col: str, digits: int = 4) -> Column:
 def with_position(
     df: DataFrame,
     order: Sequence[str],
-    bucket: Column,
+    buckets: Column | Sequence[Column],
     name: str = "pos",
     group: Sequence[str] = (),
-    total: str | None = None,
 ) -> DataFrame:
     """Add ``name``: the 0-based rank of each row by ``order`` (within ``group`` if given).
 
-    ``order`` must be unique (within the group) and ``bucket`` monotone in ``order``.
-    With ``total``, also add the row count of the group, taken from the same bucket counts.
+    ``order`` must be unique (within the group) and each bucket monotone in ``order``, coarse to
+    fine.
     """
-    group = list(group)
-    order = list(order)
-    b = "__bucket"
-    keyed = df.withColumn(b, bucket)
-    counts = keyed.groupBy(*group, b).agg(F.count(F.lit(1)).alias("__n"))
-    run = Window.partitionBy(*group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    cols = [*group, b, F.coalesce(F.sum("__n").over(run), F.lit(0)).alias("__off")]
-    if total:
-        cols.append(F.sum("__n").over(Window.partitionBy(*group)).alias(total))
-    offsets = counts.select(*cols)
-    within = Window.partitionBy(*group, b).orderBy(*order)
+    group, order = list(group), list(order)
+    buckets = [buckets] if isinstance(buckets, Column) else list(buckets)
+    levels = [f"__b{i}" for i in range(len(buckets))]
+    keyed = df.withColumns(dict(zip(levels, buckets)))
+    counts = keyed.groupBy(*group, *levels).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = None
+    for i in range(len(levels)):
+        parent, own = levels[:i], levels[i]
+        at = counts.groupBy(*group, *parent, own).agg(F.sum("__n").alias("__n")) if i + 1 < len(levels) else counts
+        run = Window.partitionBy(*group, *parent).orderBy(own).rowsBetween(Window.unboundedPreceding, -1)
+        at = at.select(*group, *parent, own, F.coalesce(F.sum("__n").over(run), F.lit(0)).alias("__o"))
+        if offsets is not None:
+            at = (at.join(offsets, [*group, *parent])
+                  .withColumn("__o", F.col("__o") + F.col("__off")).drop("__off"))
+        offsets = at.withColumnRenamed("__o", "__off")
+    within = Window.partitionBy(*group, *levels).orderBy(*order)
     numbered = keyed.withColumn("__rn", F.row_number().over(within))
     return (
-        numbered.join(offsets, on=[*group, b], how="inner")
+        numbered.join(offsets, [*group, *levels])
         .withColumn(name, (F.col("__off") + F.col("__rn") - 1).cast("long"))
-        .drop(b, "__rn", "__off", "__n")
+        .drop(*levels, "__rn", "__off")
     )

@@ -49,13 +49,14 @@ def _canon(c: Column, dt: T.DataType) -> Column:
             F.struct(*[_canon(c[f.name], f.dataType).alias(f.name) for f in fields])
         )
     if isinstance(dt, T.MapType):
-        entries = F.array_sort(F.map_entries(c))
-        if isinstance(dt.valueType, (T.StructType, T.MapType)):
-            entries = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), _canon(e["value"], dt.valueType).alias("value")))
+        # sorted by key alone: values may be of types that have no order
+        by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+        entries = F.array_sort(F.map_entries(c), by_key)
+        entries = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), _canon(e["value"], dt.valueType).alias("value")))
         return F.map_from_entries(entries)
     if isinstance(dt, T.ArrayType):
         et = dt.elementType
-        if isinstance(et, _SCALARS) and not isinstance(et, T.BooleanType):
+        if isinstance(et, _SCALARS):
             # sorted only when every item is a scalar: a null item leaves the order untouched
             return F.when(F.exists(c, lambda x: x.isNull()), c).otherwise(F.sort_array(c))
         if isinstance(et, (T.StructType, T.MapType)):
@@ -191,24 +192,21 @@ def outcome(syntax_valid: Column, cmp_prefix: str = "") -> Column:
     )
 
 
-def path_records(paths: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """I1 for whole paths: ``paths(start, end, path array<node id>)`` -> ``(start, end, path_value)``.
+def path_records(walks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """I1 for whole paths: ``walks(start, end, walk)`` of ``graph_match.shortest_walks`` ->
+    ``(start, end, path_value)``, one record per path.
 
-    Each step is joined to its node record and each consecutive pair to its relationship record
-    (equi-joins on ids: hub nodes are split by AQE skew handling), then the records are put back
-    in path order. A path holds at most ``max_hops + 1`` nodes, so the rebuilt lists are bounded.
+    The walk carries its relationships, so only the node records are joined (an equi-join on
+    ids: hub nodes are split by AQE skew handling). Steps are put together again by the path's
+    own hash, so paths of one (start, end) stay apart and a group holds one path's nodes.
     """
-    steps = paths.select("start", "end", F.posexplode("path").alias("pos", "node"))
+    paths = walks.select("start", "end", F.md5(F.to_json(F.struct("start", "walk"))).alias("pid"), "walk")
     nrec = nodes.select(F.col("id").alias("node"), node_record(F.col("labels"), F.col("props")).alias("rec"))
+    steps = paths.select("start", "end", "pid", F.posexplode("walk").alias("pos", "step"))
+    rel = F.when(F.col("pos") > 0, rel_record(F.col("step.rel.type"), F.map_from_entries("step.rel.props")))
+    steps = steps.select("start", "end", "pid", "pos", F.col("step.node").alias("node"), rel.alias("rel"))
     by_pos = lambda a, b: F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0)
-    ns = steps.join(nrec, "node").groupBy("start", "end").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "rec")), by_pos).alias("ns"))
-    pairs = paths.select("start", "end", F.posexplode(F.arrays_zip(
-        F.slice("path", 1, F.size("path") - 1).alias("a"), F.slice("path", 2, F.size("path") - 1).alias("b"))).alias("pos", "ab"))
-    pairs = pairs.select("start", "end", "pos", F.col("ab.a").alias("src"), F.col("ab.b").alias("dst"))
-    erec = edges.select("src", "dst", rel_record(F.col("type"), F.col("props")).alias("rec")).dropDuplicates(["src", "dst"])
-    rs = pairs.join(erec, ["src", "dst"]).groupBy("start", "end").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "rec")), by_pos).alias("rs"))
-    out = ns.join(rs, ["start", "end"])
-    return out.select("start", "end", path_record(F.transform("ns", lambda x: x["rec"]),
-                                                  F.transform("rs", lambda x: x["rec"])).alias("path_value"))
+    whole = steps.join(nrec, "node").groupBy("start", "end", "pid").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "rec", "rel")), by_pos).alias("s"))
+    rels = F.transform(F.slice("s", 2, F.size("s") - 1), lambda x: x["rel"])
+    return whole.select("start", "end", path_record(F.transform("s", lambda x: x["rec"]), rels).alias("path_value"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as FC
-from .positions import id_bucket, with_position
+from .positions import id_buckets, with_position
 
 # --- fixed values that must equal the reference's -------------------------------------------
 HTTP_ERRORS = {
@@ -17,6 +17,7 @@ HTTP_ERRORS = {
     500: ("Internal Server Error (HTTP 500)", "The server encountered an internal error."),
 }
 NOT_FOUND_MESSAGE = "resource not found"
+VALIDATION_TYPE = "pre_execution_syntax_check"
 # ---------------------------------------------------------------------------------------------
 
 
@@ -89,7 +90,9 @@ def run_status(classified: DataFrame, prevalidate: bool = True) -> DataFrame:
 
 
 def run_statistics(runs: DataFrame) -> DataFrame:
-    """K3: one row: totals by outcome and time statistics over executed runs."""
+    """K3: one row: totals by outcome and time statistics over executed runs.
+
+    The validation average is null when no run was pre-validated."""
     executed = F.col("run_status") != "syntax_failed"
     t = F.when(executed, F.col("execution_time"))
     return runs.agg(
@@ -101,18 +104,41 @@ def run_statistics(runs: DataFrame) -> DataFrame:
         F.avg(t).alias("avg_execution_time"),
         F.min(t).alias("min_execution_time"),
         F.max(t).alias("max_execution_time"),
-        F.avg("validation_time").alias("avg_validation_time"),
+        F.avg(F.when(F.col("syntax_checked"), F.col("validation_time"))).alias("avg_validation_time"),
+    )
+
+
+def _numbered(runs: DataFrame, which: Column, id_col: str) -> DataFrame:
+    """Rows of ``which`` with ``__pos``, their place in the whole log: only ids are numbered."""
+    at = with_position(runs.select(id_col), [id_col], id_buckets(id_col), name="__pos")
+    return runs.filter(which).join(at, id_col)
+
+
+def syntax_failed_runs(runs: DataFrame, id_col: str = "run_id") -> tuple[DataFrame, DataFrame]:
+    """Queries that pre-validation kept from running, numbered as in the log, and a header row
+    with the counts of all and of failed queries."""
+    rows = _numbered(runs, F.col("run_status") == "syntax_failed", id_col).select(
+        (F.col("__pos") + 1).alias("query_number"),
+        F.col("description").alias("query_description"),
+        F.col("query").alias("query_text"),
+        FC.syntax_errors("query").alias("syntax_errors"),
+        "validation_time",
     )
+    header = runs.agg(
+        F.count(F.lit(1)).alias("total_queries"),
+        F.count_if(F.col("run_status") == "syntax_failed").alias("syntax_failed_count"),
+    ).withColumn("validation_type", F.lit(VALIDATION_TYPE))
+    return rows, header
 
 
 def failed_runs(runs: DataFrame, id_col: str = "run_id") -> DataFrame:
     """K4: failed executions numbered by position in the run log (1-based)."""
-    numbered = with_position(runs, [id_col], id_bucket(id_col), name="__pos")
+    numbered = _numbered(runs, F.col("run_status") == "failed", id_col)
     msg = F.concat(
         F.lit("Error: "), F.col("error"),
         F.when(F.col("details").isNotNull(), F.concat(F.lit("\nDetails: "), F.col("details"))).otherwise(F.lit("")),
     )
-    return numbered.filter(F.col("run_status") == "failed").select(
+    return numbered.select(
         (F.col("__pos") + 1).alias("query_number"),
         F.col("description").alias("query_description"),
         F.col("query").alias("query_text"),
@@ -124,7 +150,14 @@ def failed_runs(runs: DataFrame, id_col: str = "run_id") -> DataFrame:
     )
 
 
+def json_text(c: Column) -> Column:
+    """A JSON text with one space after each comma and colon and none elsewhere between tokens,
+    keys in their order: what a parse and a plain dump give. Numbers and escapes stay as written."""
+    tokens = F.regexp_extract_all(c, F.lit(r'"(?:[^"\\]|\\.)*"|[^"\s,:]+|[,:]'), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(t.isin(",", ":"), F.concat(t, F.lit(" "))).otherwise(t)), "")
+
+
 def preview(c, limit: int = 200) -> Column:
-    """K5: response text cut to ``limit`` characters plus ``...`` when longer."""
-    c = F.col(c) if isinstance(c, str) else c
+    """K5: the response, dumped as JSON, cut to ``limit`` characters plus ``...`` when longer."""
+    c = json_text(F.col(c) if isinstance(c, str) else c)
     return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, limit), F.lit("..."))).otherwise(c)

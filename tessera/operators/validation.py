@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
-from .positions import id_bucket, with_position
+from .positions import id_buckets, with_position
 
 
 def validation_result(offline_ok: Column, online_ok: Column, offline_errors: Column, online_errors: Column) -> Column:
@@ -93,8 +93,8 @@ def failure_report(validated: DataFrame, time_col: str = "execution_time") -> tu
 
     ``validated`` holds the rows after the loader filter (A4) with ``offline_ok`` and ``errors``.
     """
-    numbered = with_position(validated, ["id"], id_bucket("id"), name="__pos")
-    rows = numbered.filter(~F.col("offline_ok")).select(
+    at = with_position(validated.select("id"), ["id"], id_buckets("id"), name="__pos")
+    rows = validated.filter(~F.col("offline_ok")).join(at, "id").select(
         (F.col("__pos") + 1).alias("query_number"),
         "description", "source", "query",
         F.col("errors").alias("syntax_errors"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import cleaning as OC
@@ -99,14 +101,22 @@ from ..functions.text import canonical_ws  # noqa: E402
 from ..operators import validation as OV  # noqa: E402
 from ..sources import corpus_io as IO  # noqa: E402
 from .registry import d6, d_syntax, r6  # noqa: E402
+from .session import ensure_checkpoint_dir  # noqa: E402
 
 _DOCS = X.duck_cte(corpus=X.DOC_CORPUS_SQL)
 _VAL = X.duck_cte(**X.duck_validation())
 
 
+def _json_lines(df) -> str:
+    """The derived corpus as JSON Lines in the shared folder; null fields are left out."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tessera-out/corpus-{uuid.uuid4().hex}.jsonl"
+    df.write.json(path)
+    return path
+
+
 @register("read_corpus_strict", "A", _DOCS + "SELECT id, description, query, source FROM corpus")
 def q_read_strict(spark, sf_dir):
-    return IO.apply_read_mode(X.doc_corpus(spark, sf_dir), "strict")
+    return IO.read_corpus(spark, _json_lines(X.doc_corpus(spark, sf_dir)), "strict", "jsonl")
 
 
 @register("read_corpus_skip", "A", _CORPUS + f"""
@@ -114,14 +124,14 @@ SELECT {d_strip('description')} AS description, {d_strip('query')} AS query,
        coalesce(source, 'unknown') AS source, id
 FROM corpus WHERE description IS NOT NULL AND query IS NOT NULL""")
 def q_read_skip(spark, sf_dir):
-    return IO.apply_read_mode(X.corpus(spark, sf_dir), "skip")
+    return IO.read_corpus(spark, _json_lines(X.corpus(spark, sf_dir)), "skip", "jsonl")
 
 
 @register("read_corpus_default_desc", "A", _CORPUS + """
 SELECT id, coalesce(description, 'No description provided.') AS description, query
 FROM corpus WHERE query IS NOT NULL""")
 def q_read_default_desc(spark, sf_dir):
-    return IO.apply_read_mode(X.corpus(spark, sf_dir), "default_desc")
+    return IO.read_corpus(spark, _json_lines(X.corpus(spark, sf_dir)), "default_desc", "jsonl")
 
 
 @register("read_corpus_defaults", "A", _CORPUS + """
@@ -129,7 +139,7 @@ SELECT id, query, coalesce(description, 'Query ' || (id + 1)) AS description,
        coalesce(source, 'Unknown') AS source
 FROM corpus WHERE query IS NOT NULL""")
 def q_read_defaults(spark, sf_dir):
-    return IO.apply_read_mode(X.corpus(spark, sf_dir), "defaults")
+    return IO.read_corpus(spark, _json_lines(X.corpus(spark, sf_dir)), "defaults", "jsonl")
 
 
 @register("read_named_dataset", "A", "SELECT doc_id, lang, source, n_chars FROM documents WHERE lang = 'en'")
@@ -177,10 +187,10 @@ def q_clean_source(spark, sf_dir):
 @register("text_lengths", "B", _DOCS + f"""
 , t AS (SELECT id, {d_strip(d_collapse('query'))} AS q,
         regexp_replace({d_strip('description')}, '(?i)^(find|get|return|show|list)[{D_WS}]+', '') AS d
-        FROM corpus WHERE {d_strip('description')} <> '')
+        FROM corpus)
 SELECT id, CAST(length(q) AS BIGINT) AS query_length, CAST(length(d) AS BIGINT) AS description_length FROM t""")
 def q_text_lengths(spark, sf_dir):
-    c = X.doc_corpus(spark, sf_dir).filter(~is_blank("description"))
+    c = X.doc_corpus(spark, sf_dir)
     return c.select("id", FC.text_length(FC.clean_query("query")).alias("query_length"),
                     FC.text_length(FC.clean_description("description")).alias("description_length"))
 

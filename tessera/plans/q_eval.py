@@ -127,7 +127,7 @@ def _d_eval() -> str:
 , k AS (SELECT *, raw_response IS NULL OR prefix(e, 'ERROR:') AS err FROM j)
 , k2 AS (SELECT *, CASE WHEN NOT err THEN e END AS generated_query,
          CASE WHEN raw_response IS NULL THEN 'no response' WHEN err THEN e END AS generation_error FROM k)
-, k3 AS (SELECT *, CASE WHEN err THEN ['Generation failed'] ELSE {d_syntax('generated_query')} END AS syntax_errors FROM k2)
+, k3 AS (SELECT *, CASE WHEN raw_response IS NULL THEN ['Generation failed with exception'] WHEN err THEN ['Generation failed'] ELSE {d_syntax('generated_query')} END AS syntax_errors FROM k2)
 , k4 AS (SELECT *, NOT err AND len(syntax_errors) = 0 AS syntax_valid,
          {d_normalize('generated_query')} AS ng, {d_normalize('ground_truth_query')} AS nt FROM k3)
 , k5 AS (SELECT *, {d_tokens('ng')} AS tg, {d_tokens('nt')} AS tt, {d_normalize('ng')} AS ng2, {d_normalize('nt')} AS nt2 FROM k4)
@@ -169,6 +169,7 @@ def _d_eval() -> str:
 """
 
 
+RUN_AT = "2024-01-31T00:00:00"
 _EV_COLS = ("token_similarity", "structural_similarity", "overall_score", "result_comparison_score")
 
 
@@ -226,13 +227,16 @@ def _d_round(expr: str, digits: int) -> str:
 @register("stats_summary", "J", _d_eval() + f"""
 , rt AS (SELECT *, {_RATES['syntax_success_rate']} AS ssr, {_RATES['accuracy_rate']} AS acc,
          {_RATES['average_time_per_case']} AS atc FROM rep)
-SELECT total_test_cases, successful_generations, generation_errors, syntax_valid_queries, syntax_invalid_queries,
+SELECT '2024-01-31T00:00:00' AS evaluation_timestamp, 'local' AS llm_provider, 'fixture-model' AS llm_model,
+  TRUE AS syntax_validation_enabled, CAST(0.8 AS DOUBLE) AS similarity_threshold,
+  total_test_cases, successful_generations, generation_errors, syntax_valid_queries, syntax_invalid_queries,
   exact_matches, high_similarity_count, medium_similarity_count, low_similarity_count,
   {_d_round('ssr', 2)} AS syntax_success_rate_percent, {_d_round('acc', 2)} AS accuracy_rate_percent,
   {_d_round('average_similarity_score', 4)} AS average_similarity_score, {_d_round('total_runtime', 2)} AS total_runtime_seconds,
   {_d_round('atc', 2)} AS average_time_per_case_seconds FROM rt""")
 def q_stats_summary(spark, sf_dir):
-    s = OE.stats_summary(OE.eval_rates(OE.eval_report(_eval_cases(spark, sf_dir, numbered=False))))
+    report = OE.with_run(OE.eval_report(_eval_cases(spark, sf_dir, numbered=False)), RUN_AT, "local", "fixture-model")
+    s = OE.stats_summary(OE.eval_rates(report))
     return s.select(*[F.col(c).cast("double").alias(c) if c.endswith(("percent", "seconds", "score")) else c for c in s.columns])
 
 

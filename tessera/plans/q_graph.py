@@ -88,8 +88,10 @@ def q_failed_runs(spark, sf_dir):
 
 
 @register("response_preview", "K", _RUNS + """
-SELECT run_id, CASE WHEN length(body) > 200 THEN left(body, 200) || '...' ELSE body END AS preview
-FROM st WHERE run_status = 'success'""")
+SELECT run_id, CASE WHEN length(j) > 200 THEN left(j, 200) || '...' ELSE j END AS preview
+FROM (SELECT run_id, array_to_string(list_transform(regexp_extract_all(body, '"(?:[^"\\\\]|\\\\.)*"|[^"\\s,:]+|[,:]'),
+        lambda t: CASE WHEN t IN (',', ':') THEN t || ' ' ELSE t END), '') AS j
+      FROM st WHERE run_status = 'success') x""")
 def q_preview(spark, sf_dir):
     r = _runs(spark, sf_dir).filter(F.col("run_status") == "success")
     return r.select("run_id", OR.preview("body").alias("preview"))
@@ -201,12 +203,12 @@ def q_prompt_schema(spark, sf_dir):
 
 # ---------------------------------------------------------------- I1: graph values as records
 @register("graph_value_record", "I", G.DUCK_GRAPH + """
-, pn AS (SELECT id, list_sort(list(struct_pack(k := key, v := value))) AS kv FROM nprop WHERE id LIKE 'p%' GROUP BY id)
-SELECT id, to_json(struct_pack(labels := ['Part'], properties := map_from_entries(list_transform(kv, lambda x: (x.k, x.v))),
-                               type := 'node')) AS record FROM pn""")
+, nl AS (SELECT id, list_sort(list(label)) AS labels FROM nlab GROUP BY id)
+, np AS (SELECT id, map_from_entries(list_sort(list((key, value)))) AS props FROM nprop GROUP BY id)
+SELECT nl.id, to_json(struct_pack(labels := labels, properties := coalesce(props, MAP {}), type := 'node')) AS record
+FROM nl LEFT JOIN np ON np.id = nl.id""")
 def q_graph_value_record(spark, sf_dir):
-    n = GM.match_nodes(G.nodes(spark, sf_dir), "Part")
-    r = n.select("id", RC.node_record(F.col("labels"), F.col("props")).alias("v"))
+    r = G.nodes(spark, sf_dir).select("id", RC.node_record(F.col("labels"), F.col("props")).alias("v"))
     return RC.canonical_record(r.select("id", "v.*"), ["type", "labels", "properties"]).select("id", "record")
 
 
@@ -239,20 +241,53 @@ def q_expand_both(spark, sf_dir):
     return GM.expand(GM.match_nodes(n, "Nation").select("id"), e, "NEXT", "both").select("id", "other")
 
 
+# Reach is walked once per distinct place that customers are in; the number of customers there is
+# joined to it, so no customer-place pairs are listed.
 _WALK = G.DUCK_GRAPH.replace("WITH ", "WITH RECURSIVE ", 1) + """
 , ge AS (SELECT DISTINCT src, dst FROM edge WHERE type IN ('IN', 'NEXT'))
+, st AS (SELECT dst AS start, COUNT(*) AS customers FROM edge WHERE type = 'IN' AND src LIKE 'c%' GROUP BY dst)
 , walk(start, node, hops, path) AS (
-    SELECT 'c' || c_custkey, 'c' || c_custkey, 0, ['c' || c_custkey] FROM customer
+    SELECT start, start, 0, [start] FROM st
     UNION ALL
     SELECT w.start, ge.dst, w.hops + 1, list_append(w.path, ge.dst) FROM walk w JOIN ge ON ge.src = w.node WHERE w.hops < 4)
 """
 
 
+def _customer_places(edges):
+    """(id, customers): each place with customers, once."""
+    return (edges.filter((F.col("type") == "IN") & F.col("src").startswith("c")).groupBy(F.col("dst").alias("id"))
+            .agg(F.count(F.lit(1)).alias("customers")))
+
+
+def _with_customers(reach, places):
+    return reach.join(places.withColumnRenamed("id", "start"), "start")
+
+
 @register("expand_var", "N", _WALK + """
-SELECT start, node AS "end", CAST(min(hops) AS BIGINT) AS hops FROM walk WHERE hops >= 1 GROUP BY start, node""")
+SELECT w.start, node AS "end", CAST(min(hops) AS BIGINT) AS hops, max(customers) AS customers
+FROM walk w JOIN st ON st.start = w.start WHERE hops >= 1 GROUP BY w.start, node""")
 def q_expand_var(spark, sf_dir):
-    n, e = _g(spark, sf_dir)
-    return GM.expand_var(GM.match_nodes(n, "Customer").select("id"), e, ["IN", "NEXT"], 1, 4)
+    e = G.edges(spark, sf_dir)
+    p = _customer_places(e)
+    return _with_customers(GM.expand_var(p, e, ["IN", "NEXT"], min_hops=1, max_hops=4), p)
+
+
+@register("expand_var_from_2", "N", _WALK + """
+SELECT start, node AS "end", CAST(min(hops) AS BIGINT) AS hops FROM walk WHERE hops >= 2 GROUP BY start, node""")
+def q_expand_var_2(spark, sf_dir):
+    e = G.edges(spark, sf_dir)
+    return GM.expand_var(_customer_places(e), e, ["IN", "NEXT"], min_hops=2, max_hops=4)
+
+
+@register("expand_var_unbounded", "N", G.DUCK_GRAPH.replace("WITH ", "WITH RECURSIVE ", 1) + """
+, ge AS (SELECT DISTINCT src, dst FROM edge WHERE type IN ('IN', 'NEXT'))
+, reach(start, node) AS (
+    SELECT src, dst FROM ge WHERE src IN (SELECT dst FROM edge WHERE type = 'IN' AND src LIKE 'c%')
+    UNION SELECT r.start, ge.dst FROM reach r JOIN ge ON ge.src = r.node)
+SELECT start, node AS "end" FROM reach""")
+def q_expand_var_all(spark, sf_dir):
+    e = G.edges(spark, sf_dir)
+    return GM.expand_var(_customer_places(e), e, ["IN", "NEXT"], max_hops=None).select("start", "end")
 
 
 _SP = _WALK + """
@@ -267,8 +302,7 @@ _SP = _WALK + """
 SELECT start, node AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(min(path), '>') AS path FROM sp GROUP BY start, node, hops""")
 def q_shortest(spark, sf_dir):
     n, e = _g(spark, sf_dir)
-    s = GM.shortest_path(GM.match_nodes(n, "Customer").select("id"), GM.match_nodes(n, "Region").select("id"), e,
-                         ["IN", "NEXT"], 4)
+    s = GM.shortest_path(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e, ["IN", "NEXT"], max_hops=4)
     return s.withColumn("path", joined("path", ">"))
 
 
@@ -276,8 +310,7 @@ def q_shortest(spark, sf_dir):
 SELECT DISTINCT start, node AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(path, '>') AS path FROM sp""")
 def q_all_shortest(spark, sf_dir):
     n, e = _g(spark, sf_dir)
-    s = GM.all_shortest_paths(GM.match_nodes(n, "Customer").select("id"), GM.match_nodes(n, "Region").select("id"), e,
-                              ["IN", "NEXT"], 4)
+    s = GM.all_shortest_paths(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e, ["IN", "NEXT"], max_hops=4)
     return s.withColumn("path", joined("path", ">"))
 
 
@@ -320,18 +353,16 @@ def q_case_label(spark, sf_dir):
 
 
 @register("collect_group", "N", G.DUCK_GRAPH + """
-, s AS (SELECT dst AS nation, src AS supplier FROM edge WHERE type = 'IN' AND src LIKE 's%')
-SELECT s.nation, s.supplier, g.group_size FROM s JOIN (SELECT nation, COUNT(*) AS group_size FROM s GROUP BY nation) g
-ON g.nation = s.nation""")
+SELECT s.src AS node, s.dst AS target, g.group_size FROM edge s
+JOIN (SELECT src, COUNT(*) AS group_size FROM edge GROUP BY src) g ON g.src = s.src""")
 def q_collect(spark, sf_dir):
-    e = G.edges(spark, sf_dir).filter((F.col("type") == "IN") & F.col("src").startswith("s"))
-    return GM.collect_group(e.select(F.col("dst").alias("nation"), "src"), "nation", "src", "supplier")
+    e = G.edges(spark, sf_dir)
+    return GM.collect_group(e.select(F.col("src").alias("node"), "dst"), "node", "dst", "target")
 
 
-@register("count_group", "N", "SELECT 'n' || c_nationkey AS nation, COUNT(*) AS count FROM customer GROUP BY 1")
+@register("count_group", "N", G.DUCK_GRAPH + "SELECT dst AS target, COUNT(*) AS count FROM edge GROUP BY dst")
 def q_count_group(spark, sf_dir):
-    e = G.edges(spark, sf_dir).filter((F.col("type") == "IN") & F.col("src").startswith("c"))
-    return GM.count_group(e.select(F.col("dst").alias("nation")), "nation")
+    return GM.count_group(G.edges(spark, sf_dir).select(F.col("dst").alias("target")), "target")
 
 
 AS_OF = "2024-01-31 00:00:00"
@@ -340,14 +371,14 @@ AS_OF = "2024-01-31 00:00:00"
 @register("recent_window", "N", f"""
 SELECT event_id FROM events WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AND ts <= TIMESTAMP '{AS_OF}'""")
 def q_recent(spark, sf_dir):
-    return GM.recent(X.table(spark, sf_dir, "events", spread_text=False), "ts", 7, AS_OF).select("event_id")
+    return GM.recent(X.table(spark, sf_dir, "events"), "ts", 7, AS_OF).select("event_id")
 
 
 @register("off_hours", "N", """
 SELECT event_id, CASE WHEN dayofweek(ts) IN (0, 6) THEN 'weekend' ELSE 'night' END AS reason FROM events
 WHERE dayofweek(ts) IN (0, 6) OR hour(ts) < 8 OR hour(ts) >= 20""")
 def q_off_hours(spark, sf_dir):
-    return GM.off_hours(X.table(spark, sf_dir, "events", spread_text=False), "ts").select("event_id", "reason")
+    return GM.off_hours(X.table(spark, sf_dir, "events"), "ts").select("event_id", "reason")
 
 
 @register("regex_match", "N", "SELECT 'p' || p_partkey AS id FROM part WHERE regexp_full_match(p_name, 'blue .*')")
@@ -358,7 +389,7 @@ def q_regex(spark, sf_dir):
 
 @register("first_n", "N", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 def q_first_n(spark, sf_dir):
-    o = X.table(spark, sf_dir, "orders", spread_text=False)
+    o = X.table(spark, sf_dir, "orders")
     return GM.first_n(o, [F.desc("o_totalprice"), F.asc("o_orderkey")], 10).select("o_orderkey", "o_totalprice")
 
 
@@ -367,7 +398,7 @@ SELECT user_id, COUNT(*) AS n_events FROM events WHERE event_type IN ('signup',
   AND ts > TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AND ts <= TIMESTAMP '{AS_OF}'
 GROUP BY user_id HAVING COUNT(*) > 3""")
 def q_churn(spark, sf_dir):
-    e = X.table(spark, sf_dir, "events", spread_text=False)
+    e = X.table(spark, sf_dir, "events")
     return GM.churn(e, "user_id", "ts", ["signup", "purchase"], "event_type", 30, 3, AS_OF)
 
 
@@ -387,42 +418,86 @@ def q_dup_prop(spark, sf_dir):
     return GM.duplicate_property(G.nodes(spark, sf_dir), "Part", "name").select("id", "value", "group_size")
 
 
-@register("graph_value_record_rel", "I", """
-SELECT 'o' || l_orderkey AS src, 'p' || l_partkey AS dst, CAST(l_linenumber AS BIGINT) AS line,
-  to_json(struct_pack(properties := map_from_entries([('line', CAST(l_linenumber AS VARCHAR)),
-                                                     ('quantity', CAST(l_quantity AS VARCHAR))]),
-                      rel_type := 'CONTAINS', type := 'relationship')) AS record
-FROM lineitem""")
+@register("graph_value_record_rel", "I", G.DUCK_GRAPH + """
+, le AS (
+  SELECT src, dst, type, MAP {} AS props FROM edge WHERE type NOT IN ('PLACED', 'CONTAINS')
+  UNION ALL SELECT 'c' || o_custkey, 'o' || o_orderkey, 'PLACED', MAP {'date': strftime(o_orderdate, '%Y-%m-%d')} FROM orders
+  UNION ALL SELECT 'o' || l_orderkey, 'p' || l_partkey, 'CONTAINS',
+    map_from_entries([('line', CAST(l_linenumber AS VARCHAR)), ('quantity', CAST(l_quantity AS VARCHAR))]) FROM lineitem)
+SELECT src, dst, to_json(struct_pack(properties := props, rel_type := type, type := 'relationship')) AS record FROM le""")
 def q_graph_value_record_rel(spark, sf_dir):
-    e = G.edges(spark, sf_dir).filter(F.col("type") == "CONTAINS")
-    r = e.select("src", "dst", F.try_element_at("props", F.lit("line")).cast("long").alias("line"),
-                 RC.rel_record(F.col("type"), F.col("props")).alias("v"))
-    return RC.canonical_record(r.select("src", "dst", "line", "v.*"), ["type", "rel_type", "properties"]).select(
-        "src", "dst", "line", "record")
+    r = G.edges(spark, sf_dir).select("src", "dst", RC.rel_record(F.col("type"), F.col("props")).alias("v"))
+    return RC.canonical_record(r.select("src", "dst", "v.*"), ["type", "rel_type", "properties"]).select("src", "dst", "record")
 
 
-@register("graph_value_record_path", "I", _SP + """
-, one AS (SELECT start, node AS "end", min(path) AS path FROM sp GROUP BY start, node)
-, steps AS (SELECT start, "end", unnest(path) AS node, unnest(generate_series(1, len(path))) AS pos FROM one)
+def _d_path_records(walk: str) -> str:
+    """Records of the paths in CTE ``one(pid, start, end, path, types)``, built by ``walk``."""
+    return walk + """
 , nl AS (SELECT id, list_sort(list(label)) AS labels FROM nlab GROUP BY id)
 , np2 AS (SELECT id, map_from_entries(list_sort(list((key, value)))) AS props FROM nprop GROUP BY id)
-, nrec AS (SELECT s.start, s."end", s.pos, struct_pack(labels := nl.labels,
-             properties := coalesce(np2.props, MAP {}), type := 'node') AS rec
-           FROM steps s JOIN nl ON nl.id = s.node LEFT JOIN np2 ON np2.id = s.node)
-, prs AS (SELECT start, "end", pos, path[pos] AS src, path[pos + 1] AS dst FROM
-           (SELECT start, "end", path, unnest(generate_series(1, len(path) - 1)) AS pos FROM one) t)
-, etype AS (SELECT DISTINCT src, dst, type FROM edge)
-, rrec AS (SELECT p.start, p."end", p.pos, struct_pack(properties := MAP {}, rel_type := e.type, type := 'relationship') AS rec
-           FROM prs p JOIN etype e ON e.src = p.src AND e.dst = p.dst)
-, agg AS (SELECT n.start, n."end",
-   (SELECT list(rec ORDER BY pos) FROM nrec x WHERE x.start = n.start AND x."end" = n."end") AS nodes,
-   (SELECT list(rec ORDER BY pos) FROM rrec y WHERE y.start = n.start AND y."end" = n."end") AS rels
-   FROM (SELECT DISTINCT start, "end" FROM one) n)
-SELECT start, "end", to_json(struct_pack(length := len(rels), nodes := nodes, relationships := rels, type := 'path')) AS record
-FROM agg""")
+, steps AS (SELECT pid, unnest(path) AS node, unnest(generate_series(1, len(path))) AS pos FROM one)
+, nrec AS (SELECT s.pid, list(struct_pack(labels := nl.labels, properties := coalesce(np2.props, MAP {}), type := 'node') ORDER BY s.pos) AS nodes
+           FROM steps s JOIN nl ON nl.id = s.node LEFT JOIN np2 ON np2.id = s.node GROUP BY s.pid)
+SELECT start, "end", to_json(struct_pack(length := len(types), nodes := nodes,
+    relationships := list_transform(types, lambda t: struct_pack(properties := MAP {}, rel_type := t, type := 'relationship')),
+    type := 'path')) AS record
+FROM one JOIN nrec ON nrec.pid = one.pid"""
+
+
+def _d_walk(steps: str, starts: str, ends: str, hops: int, every: bool) -> str:
+    """Shortest walks over ``steps`` SQL (src, dst, type), relationship types kept."""
+    return G.DUCK_GRAPH.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, ge AS ({steps})
+, walk(start, node, hops, path, types) AS (
+    SELECT id, id, 0, [id], CAST([] AS VARCHAR[]) FROM ({starts}) s
+    UNION ALL
+    SELECT w.start, ge.dst, w.hops + 1, list_append(w.path, ge.dst), list_append(w.types, ge.type)
+    FROM walk w JOIN ge ON ge.src = w.node WHERE w.hops < {hops})
+, best AS (SELECT start, node, min(hops) AS h FROM walk WHERE node IN ({ends}) GROUP BY start, node)
+, cand AS (SELECT w.* FROM walk w JOIN best b ON b.start = w.start AND b.node = w.node AND b.h = w.hops)
+, one AS (SELECT row_number() OVER () AS pid, start, node AS "end", path, types FROM (
+    SELECT *, row_number() OVER (PARTITION BY start, node ORDER BY path, types) AS rn FROM cand) c
+    {'' if every else 'WHERE rn = 1'})
+"""
+
+
+_PLACES = "SELECT DISTINCT dst AS id FROM edge WHERE type = 'IN' AND src LIKE 'c%'"
+_OUT = "SELECT src, dst, type FROM edge WHERE type IN ('IN', 'NEXT')"
+_BACK = "SELECT dst AS src, src AS dst, type FROM edge WHERE type IN ('IN', 'NEXT') AND src LIKE 'n%'"
+
+
+def _path_records(walks, n):
+    p = RC.path_records(walks, n).select("start", "end", "path_value.*")
+    return RC.canonical_record(p, ["type", "length", "nodes", "relationships"]).select("start", "end", "record")
+
+
+@register("graph_value_record_path", "I", _d_path_records(_d_walk(_OUT, _PLACES, "SELECT id FROM nlab WHERE label = 'Region'", 4, False)))
 def q_graph_value_record_path(spark, sf_dir):
     n, e = _g(spark, sf_dir)
-    sp = GM.shortest_path(GM.match_nodes(n, "Customer").select("id"), GM.match_nodes(n, "Region").select("id"), e,
-                          ["IN", "NEXT"], 4)
-    p = RC.path_records(sp, n, e).select("start", "end", "path_value.*")
-    return RC.canonical_record(p, ["type", "length", "nodes", "relationships"]).select("start", "end", "record")
+    w = GM.shortest_walks(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e, ["IN", "NEXT"], max_hops=4, every=False)
+    return _path_records(w, n)
+
+
+@register("graph_value_record_paths_all", "I", _d_path_records(_d_walk(_OUT, _PLACES, "SELECT id FROM nlab WHERE label = 'Place'", 3, True)))
+def q_graph_value_record_paths_all(spark, sf_dir):
+    n, e = _g(spark, sf_dir)
+    w = GM.shortest_walks(_customer_places(e), GM.match_nodes(n, "Place").select("id"), e, ["IN", "NEXT"], max_hops=3)
+    return _path_records(w, n)
+
+
+@register("graph_value_record_paths_in", "I", _d_path_records(_d_walk(
+    _BACK, "SELECT id FROM nlab WHERE label = 'Region'", _PLACES, 3, True)))
+def q_graph_value_record_paths_in(spark, sf_dir):
+    n, e = _g(spark, sf_dir)
+    w = GM.shortest_walks(GM.match_nodes(n, "Region").select("id"), _customer_places(e), e.filter(F.col("src").startswith("n")),
+                          ["IN", "NEXT"], max_hops=3, direction="in")
+    return _path_records(w, n)
+
+
+@register("graph_value_record_paths_both", "I", _d_path_records(_d_walk(
+    _OUT + " AND src LIKE 'n%' UNION ALL " + _BACK, _PLACES, "SELECT id FROM nlab WHERE label = 'Region'", 3, True)))
+def q_graph_value_record_paths_both(spark, sf_dir):
+    n, e = _g(spark, sf_dir)
+    w = GM.shortest_walks(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e.filter(F.col("src").startswith("n")),
+                          ["IN", "NEXT"], max_hops=3, direction="both")
+    return _path_records(w, n)

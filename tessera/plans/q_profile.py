@@ -121,7 +121,16 @@ def q_split(spark, sf_dir):
     return OS.train_test_split(cleaned_corpus(spark, sf_dir).select("id"), 0.85, 42)
 
 
-@register("stratified_split", "F", _d_split("query_type"))
+_D_STRAT = D_CLEANED + f"""
+, r AS (SELECT id, query_type, row_number() OVER (PARTITION BY query_type ORDER BY md5('42:' || id), id) AS rn FROM cleaned)
+, n AS (SELECT query_type, COUNT(*) * CAST({_TEST_RATIO} AS DOUBLE) AS share FROM cleaned GROUP BY query_type)
+, n2 AS (SELECT *, row_number() OVER (ORDER BY share - floor(share) DESC, query_type) AS place,
+         ceil((SELECT COUNT(*) FROM cleaned) * CAST({_TEST_RATIO} AS DOUBLE)) - sum(floor(share)) OVER () AS spare FROM n)
+SELECT id, CASE WHEN rn <= floor(share) + CASE WHEN place <= spare THEN 1 ELSE 0 END THEN 'test' ELSE 'train' END AS split
+FROM r JOIN n2 ON n2.query_type = r.query_type"""
+
+
+@register("stratified_split", "F", _D_STRAT)
 def q_strat(spark, sf_dir):
     c = cleaned_corpus(spark, sf_dir).select("id", "query_type")
     return OS.train_test_split(c, 0.85, 42, stratify="query_type").select("id", "split")

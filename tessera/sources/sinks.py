@@ -6,7 +6,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_corpus(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> str:
@@ -25,9 +24,12 @@ def write_report(parts: dict[str, DataFrame], directory: str, fmt: str = "json",
     return out
 
 
-def write_failures(rows: DataFrame, header: DataFrame, directory: str, mode: str = "errorifexists") -> dict:
-    """Failing rows and their one-row header (counts, validation type)."""
-    return write_report({"failures": rows, "header": header}, directory, "json", mode)
+def write_failures(rows: DataFrame, header: DataFrame, directory: str, mode: str = "errorifexists",
+                   syntax: DataFrame | None = None) -> dict:
+    """Failing rows, their one-row header (counts, validation type) and, of a run with
+    pre-validation, the rows that failed it."""
+    parts = {"failures": rows, "header": header} | ({"syntax_failures": syntax} if syntax is not None else {})
+    return write_report(parts, directory, "json", mode)
 
 
 def write_eval(cases: DataFrame, report: DataFrame, directory: str, mode: str = "errorifexists") -> dict:
@@ -46,6 +48,8 @@ def write_dedup(df: DataFrame, source_path: str, path: str, fmt: str = "parquet"
 def publish(df: DataFrame, directory: str, split_col: str = "split", fmt: str = "parquet",
             mode: str = "errorifexists") -> str:
     """Publish splits as one folder per split value (readers prune partitions by split).
-    Upload to a hub is not built (network)."""
-    df.repartition(F.col(split_col)).write.mode(mode).partitionBy(split_col).format(fmt).save(directory)
+
+    Each task writes its own rows of every split: nothing is shuffled, and a split that holds most
+    rows is written by all tasks. Upload to a hub is not built (network)."""
+    df.write.mode(mode).partitionBy(split_col).format(fmt).save(directory)
     return directory
