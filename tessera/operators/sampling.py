@@ -77,6 +77,13 @@ def train_test_split(
     return rows.withColumn("split", F.when(F.col("__in"), "test").otherwise("train")).drop("__in")
 
 
+def take_first(df: DataFrame, wanted, seed: int = 42, id_col: str = "id", flag: str = "chosen") -> DataFrame:
+    """Add ``flag``: the row is among the first n in seeded order; ``wanted`` adds ``__take`` (n) to
+    the one-row table that holds ``__size``."""
+    keyed = df.withColumn("__key", split_key(seed, id_col))
+    return _first_rows(keyed, id_col, [], wanted).withColumnRenamed("__in", flag)
+
+
 def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "id") -> DataFrame:
     """the n rows first in seeded order; all rows when n >= size."""
     keyed = df.withColumn("__key", split_key(seed, id_col))

@@ -128,6 +128,17 @@ SELECT c.id, c.description, c.query, c.source,
 FROM {corpus} c JOIN {orders} o ON o.o_orderkey = c.id
 """
 
+# One trace per user turn that an assistant turn follows: the whole answer is the reasoning, its
+# first line the query.
+TRACES_SQL = """
+SELECT CAST(u.conv_id AS STRING) || ':' || CAST(u.turn AS STRING) AS id, u.text AS description,
+  CASE WHEN instr(a.text, chr(10)) > 0 THEN substr(a.text, 1, instr(a.text, chr(10)) - 1) ELSE a.text END AS query,
+  'conv' || CAST(u.conv_id AS STRING) AS source, a.text AS reasoning_trace,
+  CAST('2024-01-31 00:00:00' AS TIMESTAMP) AS generated_at
+FROM {conversations} u JOIN {conversations} a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+WHERE u.role = 'user' AND a.role = 'assistant'
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
@@ -194,6 +205,10 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, RUN_LOG_SQL)
 
 
+def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_sql(spark, sf_dir, TRACES_SQL)
+
+
 # ---- DuckDB side: the same texts as CTEs over the pre-registered views ----------------------
 
 def duck_cte(**texts: str) -> str:

@@ -82,4 +82,5 @@ def load_all() -> None:
         q_eval,
         q_graph,
         q_sinks,
+        q_training,
     )
