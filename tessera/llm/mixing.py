@@ -55,10 +55,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     s = (s.withColumn("budget", F.sum("source_size").over(every) * F.lit(TOTAL_SHARE))
          .withColumn("level", (F.col("budget") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
                      / (F.sum("w").over(every) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))))
-    # the level is that of the first source, in this order, which stays below its cap
-    s = s.withColumn("l", F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(every))
+    # levels rise while sources are capped and fall from the first that is not: theirs is the greatest
+    s = s.withColumn("l", F.max("level").over(every))
     return s.select("source", "source_size",
-                    F.least("cap", F.coalesce(F.col("l") * F.col("w"), F.col("cap"))).alias("target"))
+                    F.least("cap", F.col("l") * F.col("w")).alias("target"))
 
 
 def mix(docs: DataFrame, slice_rows: int = 20_000) -> DataFrame:

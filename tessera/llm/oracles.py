@@ -53,9 +53,9 @@ c AS (
     sum(w) OVER (ORDER BY 1.0 * source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_w
   FROM s),
 l AS (
-  SELECT *, min(CASE WHEN (budget - used) / left_w * w <= cap THEN (budget - used) / left_w END) OVER () AS level FROM c),
+  SELECT *, max((budget - used) / left_w) OVER () AS level FROM c),
 t AS (
-  SELECT source, source_size, least(cap, coalesce(level * w, cap))::DOUBLE AS target FROM l),
+  SELECT source, source_size, least(cap, level * w)::DOUBLE AS target FROM l),
 e AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t),
 r AS (
