@@ -87,6 +87,10 @@ def evaluate(
         "case_id", "description", "ground_truth_query", "raw_response", "generated_query",
         "generation_time", "generation_error", "syntax_valid", "validated", "syntax_errors",
         "exact_match", "token_similarity", "structural_similarity", "overall_score", "similarity_bucket",
+        F.when(F.col("generation_error").isNull(), F.struct(
+            "exact_match", "token_similarity", "structural_similarity", "overall_score", "normalized_generated",
+            "normalized_truth", "tokens_generated", "tokens_truth", "structure_generated", "structure_truth",
+        )).alias("similarity_evaluation"),
         *([c for c in j.columns if c.startswith("cmp_")] + ["comparison_outcome", "result_comparison_score"]
           if records is not None and headers is not None else []),
     )

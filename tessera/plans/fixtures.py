@@ -142,17 +142,16 @@ WHERE u.role = 'user' AND a.role = 'assistant'
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
-# The first column of each driver table is its key; inputs are dealt on it where the session asks.
-_KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
-         "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
-         "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
-         "labels": "doc_id", "conversations": "conv_id"}
+# Keys of the tables whose derived rows carry heavy per-row text work; these are dealt over more
+# partitions where the session asks for it.
+_TEXT_KEYS = {"orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from ..sources.corpus_io import spread
 
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), _KEYS[name])
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, _TEXT_KEYS[name]) if name in _TEXT_KEYS else df
 
 
 def _spark_text(text: str, names: set[str]) -> str:

@@ -107,14 +107,110 @@ def test_s21_expand_var_matches_bfs(spark):
     e = spark.createDataFrame([(s, d, "T") for s, d in edges], "src string, dst string, type string").withColumn(
         "props", F.create_map().cast("map<string,string>"))
     starts = spark.createDataFrame([("a",), ("e",)], "id string")
-    got = {(r.start, r.end): r.hops for r in GM.expand_var(starts, e, "T", 1, 5).collect()}
+    got = {(r.start, r.end): r.hops for r in GM.expand_var(starts, e, "T", min_hops=1, max_hops=5).collect()}
     want = {(s, n): h for s in ("a", "e") for n, h in _bfs(edges, s, 5).items()}
     assert got == want and got[("a", "a")] == 3  # start returns only through a cycle
+    every = {(r.start, r.end): r.hops for r in GM.expand_var(starts, e, "T", max_hops=None).collect()}
+    assert every == want
+    two = {(r.start, r.end): r.hops for r in GM.expand_var(starts, e, "T", min_hops=2, max_hops=None).collect()}
+    assert two[("a", "b")] == 4 and two[("a", "c")] == 2 and two[("a", "d")] == 3 and ("a", "e") not in two
+    zero = {(r.start, r.end): r.hops for r in GM.expand_var(starts, e, "T", min_hops=0, max_hops=2).collect()}
+    assert zero[("a", "a")] == 0 and zero[("e", "b")] == 2
     sp = {(r.start, r.end): r.path for r in GM.shortest_path(starts, spark.createDataFrame([("d",)], "id string"), e, "T",
-                                                            5).collect()}
+                                                            max_hops=5).collect()}
     assert sp[("a", "d")] == ["a", "b", "c", "d"]
 
 
+def _graph(spark, edges):
+    e = spark.createDataFrame(edges, "src string, dst string, type string, props map<string,string>")
+    ids = sorted({x for s, d, *_ in edges for x in (s, d)})
+    n = spark.createDataFrame([(i, ["L"], {"k": i}) for i in ids], "id string, labels array<string>, props map<string,string>")
+    return n, e
+
+
+def _records(spark, n, e, start, end, types, direction="out", every=True):
+    one = lambda x: spark.createDataFrame([(x,)], "id string")
+    w = GM.shortest_walks(one(start), one(end), e, types, max_hops=4, direction=direction, every=every)
+    return [(r.path_value.length, [x.properties["k"] for x in r.path_value.nodes],
+             [(x.rel_type, x.properties) for x in r.path_value.relationships]) for r in RC.path_records(w, n).collect()]
+
+
+def test_path_records_stay_apart_and_keep_their_relationships(spark):
+    n, e = _graph(spark, [("a", "b", "R1", {}), ("b", "d", "R1", {}), ("a", "c", "R1", {}), ("c", "d", "R2", {"w": "1"}),
+                          ("c", "d", "R1", {}), ("x", "a", "R1", {})])
+    got = sorted(_records(spark, n, e, "a", "d", None), key=repr)
+    assert got == sorted([(2, ["a", "b", "d"], [("R1", {}), ("R1", {})]), (2, ["a", "c", "d"], [("R1", {}), ("R1", {})]),
+                          (2, ["a", "c", "d"], [("R1", {}), ("R2", {"w": "1"})])], key=repr)
+    assert _records(spark, n, e, "a", "d", ["R2", "R1"], every=False) == [(2, ["a", "b", "d"], [("R1", {}), ("R1", {})])]
+    assert _records(spark, n, e, "c", "d", "R2") == [(1, ["c", "d"], [("R2", {"w": "1"})])]
+    assert sorted(r[1] for r in _records(spark, n, e, "d", "x", "R1", "in")) == [["d", "b", "a", "x"], ["d", "c", "a", "x"]]
+    assert [r[1] for r in _records(spark, n, e, "b", "x", None, "both")] == [["b", "a", "x"]]
+    assert _records(spark, n, e, "a", "a", None) == [(0, ["a"], [])]
+
+
+def test_canonical_maps_of_any_value(spark):
+    df = spark.createDataFrame([({"b": [2, 1], "a": [3, None]}, {"y": {"q": 1, "p": 2}}, [True, False])],
+                               "m map<string,array<int>>, n map<string,map<string,int>>, f array<boolean>")
+    rec = RC.canonical_record(df, ["m", "n", "f"]).first().record
+    assert rec == '{"f":[false,true],"m":{"a":[3,null],"b":[1,2]},"n":{"y":{"p":2,"q":1}}}'
+
+
+def test_regex_needs_the_whole_text(spark):
+    df = spark.createDataFrame([("abc",), ("abc\n",), ("xabc",)], "t string")
+    assert [r.t for r in df.filter(GM.regex_match("t", "a.c|x")).collect()] == ["abc"]
+
+
+def test_strict_read_cannot_be_pruned(spark):
+    df = spark.createDataFrame([(1, "a", "q", None), (2, None, "q", "s")], "id long, description string, query string, source string")
+    strict = IO.apply_read_mode(df, "strict")
+    for use in (lambda: strict.count(), lambda: strict.select("source").collect(), lambda: strict.select("query").collect()):
+        with pytest.raises(Exception, match="missing required field: description"):
+            use()
+
+
+@pytest.mark.parametrize("name,text", [
+    ("cut.json", '[{"query": "a"}, {"que'), ("one.json", '{"query": "a"}'), ("bad.jsonl", '{"id": 1, "query": "a"}\n{"id": 2,'),
+    ("noid.jsonl", '{"id": 1, "query": "a"}\n{"query": "b"}')])
+def test_malformed_corpora_fail(spark, tmp_path, name, text):
+    (tmp_path / name).write_text(text)
+    for mode in IO.MODES:
+        with pytest.raises(Exception):
+            IO.read_corpus(spark, str(tmp_path / name), mode).collect()
+
+
+def test_json_lines_keep_given_ids(spark, tmp_path):
+    (tmp_path / "c.jsonl").write_text('{"id": 7, "query": "a"}\n\n{"id": 3, "description": "d", "query": "b"}')
+    got = sorted((r.id, r.description) for r in IO.read_corpus(spark, str(tmp_path / "c.jsonl"), "defaults").collect())
+    assert got == [(3, "d"), (7, "Query 8")]
+
+
+def test_positions_of_sparse_ids(spark):
+    from tessera.operators.positions import id_buckets, with_position
+
+    ids = [((-1) ** i * i) << 40 for i in range(500)] + [2**62 + i for i in range(50)] + [-(2**62) - i for i in range(50)] + [1, 2]
+    df = spark.createDataFrame([(i,) for i in sorted(set(ids))], "id long").repartition(5)
+    got = {r.id: r.pos for r in with_position(df, ["id"], id_buckets("id")).collect()}
+    assert got == {x: k for k, x in enumerate(sorted(set(ids)))}
+
+
+def test_stratified_total_and_samples(spark):
+    df = spark.range(300).withColumn("g", F.when(F.col("id") < 100, F.col("id")).otherwise(F.col("id") % 3 + 1000).cast("long"))
+    s = SP.train_test_split(df, 0.85, 42, stratify="g")
+    assert s.filter("split = 'test'").count() == SP.test_size(300, 0.85) and s.count() == 300
+    assert SP.sample_n(df, 17).count() == 17 and SP.sample_n(df, 900).count() == 300 and SP.sample_n(df, 0).count() == 0
+    small = {r.id for r in SP.sample_n(df, 20).collect()}
+    assert small <= {r.id for r in SP.sample_n(df, 50).collect()}
+
+
+def test_publish_writes_a_split_from_every_task(spark, tmp_path):
+    from tessera.sources import sinks as SK
+
+    df = spark.range(0, 800, 1, 8).withColumn("split", F.when(F.col("id") % 10 == 0, "test").otherwise("train"))
+    SK.publish(df, str(tmp_path / "p"))
+    assert len(list((tmp_path / "p" / "split=train").glob("part-*"))) == 8
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 800
+
+
 def test_identical_targets(spark):
     e = spark.createDataFrame([("x", "1"), ("x", "2"), ("y", "2"), ("y", "1"), ("z", "1"), ("w", "1")],
                               "src string, dst string").withColumn("type", F.lit("T")).withColumn(
@@ -124,8 +220,10 @@ def test_identical_targets(spark):
 
 
 def test_shuffle_partitions_do_not_change_results(spark):
-    import __spark_entry__ as E
-    qs = E.queries()
+    from tessera.plans import registry
+
+    registry.load_all()
+    qs = registry.QUERIES
     keys = ["dup_pairs_query", "train_test_split", "compare_samples", "top_k", "failed_runs"]
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
