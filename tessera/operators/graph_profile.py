@@ -66,20 +66,17 @@ def relationship_properties(edges: DataFrame, sample: int | None = None) -> Data
 def schema_summary(nodes: DataFrame, edges: DataFrame, sample: int | None = None) -> DataFrame:
     """The five parts as rows ``(kind, name, properties)``.
 
-    Each side is read once into distinct (name, key) pairs; labels, types, per-name keys and
-    all keys are derived from those pairs (the shared aggregate is reused, not recomputed).
+    Each side is read once into distinct (name, key) pairs. Each pair gives a row for its label or
+    type and one for its key, so all five parts come from one grouping of the pairs.
     """
-    np_ = node_key_pairs(nodes, sample)
-    rp = relationship_key_pairs(edges, sample)
-    n = _collect_keys(np_, "label").select(F.lit("node_label").alias("kind"), F.col("label").alias("name"), "properties")
-    r = _collect_keys(rp, "rel_type").select(
-        F.lit("relationship_type").alias("kind"), F.col("rel_type").alias("name"), "properties"
-    )
-    keys = np_.select("k").union(rp.select("k")).filter(F.col("k").isNotNull()).distinct()
-    k = keys.select(
-        F.lit("property_key").alias("kind"), F.col("k").alias("name"), F.array().cast("array<string>").alias("properties")
-    )
-    return n.unionByName(r).unionByName(k)
+    pairs = node_key_pairs(nodes, sample).select(F.lit("node_label").alias("kind"), F.col("label").alias("name"), "k").unionByName(
+        relationship_key_pairs(edges, sample).select(F.lit("relationship_type").alias("kind"), F.col("rel_type").alias("name"), "k"))
+    none = F.lit(None).cast("string")
+    parts = pairs.select(F.explode(F.array(
+        F.struct("kind", "name", "k"),
+        F.struct(F.lit("property_key").alias("kind"), F.col("k").alias("name"), none.alias("k")))).alias("p")).select("p.*")
+    # keys are property names: their number is bounded by the schema
+    return parts.filter(F.col("name").isNotNull()).groupBy("kind", "name").agg(F.sort_array(F.collect_set("k")).alias("properties"))
 
 
 def render_schema(summary: DataFrame) -> DataFrame:
