@@ -41,7 +41,9 @@ def read_entries(spark: SparkSession, path: str, fmt: str = "auto") -> DataFrame
         lines = spark.read.text(path).filter(F.trim("value") != "")
         lines = lines.select("value", F.from_json("value", "map<string,string>", entry).alias("m"))
         idx = _field(F.col("m"), "id").try_cast("long")
-        idx = F.coalesce(idx, F.raise_error(F.concat(F.lit("Entry without an integer id: "), F.substring("value", 1, 200))).cast("long"))
+        said = F.raise_error(F.concat(F.lit("Entry without an integer id: "), F.substring("value", 1, 200))).cast("boolean")
+        # a filter, so that the check comes before any filter on the fields
+        lines = lines.filter(F.when(idx.isNull(), said).otherwise(F.lit(True)))
         rows = lines.select(idx.alias("id"), "m")
     else:
         # one JSON array per file: one task per file
