@@ -2,7 +2,8 @@
 
 The bitmap has a fixed number of bits (4 MB), so broadcasting it is safe at any input size. A key
 that is in the set always passes; another one passes by chance, the more often the fuller the
-bitmap, so it only saves work and an exact join always follows. It is made by a partial ``bit_or``
+bitmap, so it only saves work and an exact join always follows (an inner join with distinct keys:
+the optimiser would move a semi-join below the test). It is made by a partial ``bit_or``
 per word of 64 bits and put together into one array.
 """
 
@@ -32,9 +33,16 @@ def bitmap(keys: DataFrame, key: str) -> DataFrame:
     return block.agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("k", "w"))), lambda x: x["w"])).alias("bits_"))
 
 
+def _bit(key: str) -> Column:
+    p = _place(F.col(key))
+    return F.getbit(F.get(F.col("bits_"), F.shiftright(p, 6).cast("int")), F.pmod(p, F.lit(64)).cast("int"))
+
+
 def maybe_in(rows: DataFrame, key: str, bits: DataFrame) -> DataFrame:
     """Rows whose key may be in the bitmap."""
-    p = _place(F.col(key))
-    word = F.get(F.col("bits_"), F.shiftright(p, 6).cast("int"))
-    hit = F.getbit(word, F.pmod(p, F.lit(64)).cast("int")) == 1
-    return rows.join(F.broadcast(bits), hit).select(*rows.columns)
+    return rows.join(F.broadcast(bits), _bit(key) == 1).select(*rows.columns)
+
+
+def not_in(rows: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """Rows whose key is surely not in the bitmap; the others are those of ``maybe_in``."""
+    return rows.join(F.broadcast(bits), _bit(key) == 0).select(*rows.columns)

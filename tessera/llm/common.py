@@ -20,9 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage: write the rows to the shared checkpoint folder and go on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the rows to the shared checkpoint folder and go on from there.
+
+    The shuffles that led here are not needed again; a collection in the driver lets Spark's
+    cleaner remove their files, and checkpoints no longer referred to, while the job goes on.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    out = df.checkpoint(eager=True)
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def words(text: Column) -> Column:

@@ -1,10 +1,8 @@
 """Candidate pairs of hash buckets, and the components they form (DataFrame operations only).
 
 A bucket may hold a large part of all nodes, so no step lists all pairs of a bucket, collects a
-bucket, or puts it into one window. ``star_pairs`` links each member with the bucket's least and
-greatest node (a partial aggregate and an equi-join that AQE can split); ``leftover_pairs`` then
-lists what a star cannot settle: pairs of a bucket whose ends are still in different components,
-each with an end outside the bucket's largest component.
+bucket, or puts it into one window. Members meet single members of their bucket, found by a partial
+aggregate and joined back by an equi-join that AQE can split: the work grows with the members.
 """
 
 from __future__ import annotations
@@ -26,37 +24,32 @@ def star_pairs(buckets: DataFrame) -> DataFrame:
             .distinct())
 
 
-def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """Rows of buckets with two or more different nodes."""
-    ends = (buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-            .filter("lo < hi").select("bucket"))
-    return buckets.join(ends, "bucket")
-
+def star_links(buckets: DataFrame, check, rounds: int) -> DataFrame:
+    """Confirmed links ``(a, b)`` of ``buckets(bucket, node)``; ``check`` keeps the true pairs.
 
-def leftover_pairs(buckets: DataFrame, labels: DataFrame, done: DataFrame, fits=None) -> DataFrame:
-    """Unchecked pairs of a bucket whose ends differ in component.
-
-    ``labels(node, comp)`` holds the linked nodes (others are their own component); ``done(a, b)``
-    the pairs already checked. ``fits(x, y)`` is an exact bound on the two sides' extra columns.
+    First each member meets its bucket's least and greatest node. Then, ``rounds`` times at most,
+    members of buckets that are not yet one component meet a member drawn by a hash, if it is in
+    another component, and one drawn from the components other than that one's. The rounds end
+    early when one finds no link. A link whose ends meet no drawn member that ties them stays
+    unseen; similar nodes share several buckets, each with draws of its own.
     """
-    held = (buckets.join(labels, "node", "left")
-            .withColumn("comp", F.coalesce("comp", "node")))
-    mixed = (held.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-             .filter("c0 < c1").select("bucket"))
-    held = cut(held.join(mixed, "bucket"))
-    sizes = held.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
-    rest = held.join(main, "bucket").filter("comp <> main").drop("main")
-    x = rest.select("bucket", *[F.col(c).alias(f"x_{c}") for c in held.columns if c != "bucket"])
-    y = held.select("bucket", *[F.col(c).alias(f"y_{c}") for c in held.columns if c != "bucket"])
-    on = (x["bucket"] == y["bucket"]) & (F.col("x_comp") != F.col("y_comp"))
-    if fits is not None:
-        on = on & fits("x_", "y_")
-    pairs = (x.join(y, on)
-             .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
-             .distinct())
-    seen = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.join(seen, ["a", "b"], "left_anti")
+    links = cut(check(star_pairs(buckets)))
+    for r in range(rounds):
+        draw = F.xxhash64(F.lit(r), "bucket", "node")
+        held = (buckets.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        one = (held.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+                                          F.min_by("node", draw).alias("p"), F.min_by("comp", draw).alias("pc"))
+               .filter("c0 < c1").drop("c0", "c1"))
+        apart = cut(held.join(one, "bucket"))
+        two = (apart.filter("comp <> pc").groupBy("bucket")
+               .agg(F.min_by("node", draw).alias("q"), F.min_by("comp", draw).alias("qc")))
+        first = apart.filter("comp <> pc").select(F.col("p").alias("a"), F.col("node").alias("b"))
+        second = apart.join(two, "bucket").filter("comp <> qc").select(F.col("q").alias("a"), F.col("node").alias("b"))
+        more = cut(check(first.unionByName(second).distinct()))
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -65,6 +65,13 @@ def test_html_main_text(spark):
         assert got == {i: f"Head {i}\nBody & text {i} next line\nUnclosed bold {i}" for i in range(8)}
 
 
+def test_html_salted_join(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 3}.example.com/x", PAGE.format(i=i, main="article", end="article"), "x") for i in range(20)]
+    one = sorted(map(tuple, html_wrapper.extract(pages(spark, rows)).collect()))
+    monkeypatch.setattr(html_wrapper, "BROADCAST_CHARS", 0)
+    assert sorted(map(tuple, html_wrapper.extract(pages(spark, rows).repartition(7)).collect())) == one
+
+
 def test_html_odd(spark):
     rows = [(1, None, None, "x"), (2, "odd", "", "x"), (3, "http://a/", "plain text", "x"), (4, "http://a/", "<p>a<p>b</div></p>", "x"),
             (5, "http://a/", "<article>&#65;&lt;" + "<i>x</i> " * 3000 + "</article>", "x"), (5, "http://a/", "<", "x")]
@@ -251,7 +258,7 @@ def test_benchmark_in_blocks(spark, monkeypatch):
 
 # ---------------------------------------------------------------- 8 lines
 def line_sets(rows):
-    anchor = re.compile(r"(?:(?<![^\x20\x09-\x0D])|(?=[⺀-ￜ]))(?=([^\x20\x09-\x0D].{0,%d}))" % (line_dedup.ANCHORED - 1), re.S)
+    anchor = re.compile(r"(?=(.{1,%d}))(?:[⺀-ￜ]|[^\x20\x09-\x0D⺀-ￜ]+)[\x20\x09-\x0D]*" % line_dedup.ANCHORED, re.S)
     out = {}
     for d, t in rows:
         for n, line in enumerate((t or "").split("\n")):
