@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from .common import cut
 
 MIN_PAGES, FAN_IN, MAX_FOLD, HOSTS_HELD = 5, 64, 4, 500
+BROADCAST_CHARS, SALTS = 8_000_000, 64
 
 # Elements of HTML by how a text flow treats them.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -288,7 +289,8 @@ def _page_wrappers(frames):
             held[host] = [w, 1] if old is None else [align(old[0], w), old[1] + 1]
             if len(held) > HOSTS_HELD:
                 yield rows()
-    yield rows()
+    if held:  # a task may read no page
+        yield rows()
 
 
 def _join_wrappers(df: pd.DataFrame) -> pd.DataFrame:
@@ -313,23 +315,39 @@ def wrappers(pages: DataFrame) -> DataFrame:
             lambda df: _join_wrappers(df.drop(columns="salt")), schema))
 
 
+def _plans(frames):
+    """Wrappers -> what extraction needs of them, as JSON."""
+    for df in frames:
+        yield pd.DataFrame({"h_": df["host"].tolist(), "plan": [json.dumps(plan(json.loads(w), n)) for w, n in zip(df["wrapper"], df["pages"])]})
+
+
 def extract(pages: DataFrame) -> DataFrame:
-    """``pages(page_id, url, html)`` -> page_id, url, text, n_chars."""
-    known = wrappers(pages).select(F.col("host").alias("h_"), "pages", "wrapper")
+    """``pages(page_id, url, html)`` -> page_id, url, text, n_chars.
+
+    The hosts' plans are broadcast while they take at most ``BROADCAST_CHARS`` characters, so pages
+    are read in place; beyond, pages meet them in a join on host and one of ``SALTS`` shares.
+    """
+    known = cut(wrappers(pages).mapInPandas(_plans, "h_ string, plan string"))
     own = pages.select("page_id", "url", "html", F.coalesce(F.lower(F.regexp_extract("url", HOST, 1)), F.lit("")).alias("host"))
 
     def run(frames):
-        plans: dict[str, dict] = {}
+        held: dict[str, dict] = {}
         for df in frames:
             texts = []
-            for host, page, n, w in zip(df["host"], df["html"], df["pages"], df["wrapper"]):
-                if host not in plans:
-                    if len(plans) > HOSTS_HELD:
-                        plans.clear()
-                    plans[host] = plan(json.loads(w), n) if isinstance(w, str) else {"where": None, "fixed": {}}
-                texts.append(main_text(page, plans[host]))
-            yield pd.DataFrame({"page_id": df["page_id"], "url": df["url"], "text": texts, "n_chars": [len(t) for t in texts]})
-
+            for host, page, p in zip(df["host"], df["html"], df["plan"]):
+                if host not in held:
+                    if len(held) > HOSTS_HELD:
+                        held.clear()
+                    held[host] = json.loads(p) if isinstance(p, str) else {"where": None, "fixed": {}}
+                texts.append(main_text(page, held[host]))
+            yield pd.DataFrame({"page_id": df["page_id"], "url": df["url"].tolist(), "text": texts, "n_chars": [len(t) for t in texts]})
+
+    if (known.agg(F.sum(F.length("h_") + F.length("plan"))).first()[0] or 0) <= BROADCAST_CHARS:
+        met = own.join(F.broadcast(known), F.col("host") == F.col("h_"), "left")
+    else:
+        known = known.withColumn("s_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = own.withColumn("salt", F.pmod(F.hash("page_id", "url"), F.lit(SALTS)))
+        met = own.join(known, (F.col("host") == F.col("h_")) & (F.col("salt") == F.col("s_")), "left")
     kind = dict(pages.dtypes)["page_id"]
-    return (own.join(known, own["host"] == known["h_"], "left").drop("h_")
+    return (met.select("page_id", "url", "html", "host", "plan")
             .mapInPandas(run, f"page_id {kind}, url string, text string, n_chars long"))

@@ -82,6 +82,8 @@ def test_html_odd(spark):
     assert got[1] == [""] and got[2] == [""] and got[3] == ["plain text"] and got[4] == ["a\nb"]
     assert sorted(got[5]) == ["<", "A<" + " ".join(["x"] * 3000)]
     assert html_wrapper.extract(empty(pages(spark, rows))).count() == 0
+    few = pages(spark, rows).repartition(40)  # most tasks read no page
+    assert sorted(r.n_chars for r in html_wrapper.extract(few).collect()) == sorted(len(t) for ts in got.values() for t in ts)
 
 
 def test_wrapper_optional_and_repeated():
