@@ -1,8 +1,9 @@
 """Candidate pairs of hash buckets, and the components they form (DataFrame operations only).
 
 A bucket may hold a large part of all nodes, so no step lists all pairs of a bucket, collects a
-bucket, or puts it into one window. Members meet single members of their bucket, found by a partial
-aggregate and joined back by an equi-join that AQE can split: the work grows with the members.
+bucket, or puts it into one window. Members meet the end nodes of their bucket, found by a partial
+aggregate and joined back by an equi-join that AQE can split; those that are then still apart from
+the bucket's largest component meet the whole bucket, in salted blocks.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
+BLOCK = 1000
+
 
 def star_pairs(buckets: DataFrame) -> DataFrame:
     """``buckets(bucket, node)`` -> distinct ``(a, b)`` with ``a`` an end node of a shared bucket."""
@@ -24,32 +27,29 @@ def star_pairs(buckets: DataFrame) -> DataFrame:
             .distinct())
 
 
-def star_links(buckets: DataFrame, check, rounds: int) -> DataFrame:
-    """Confirmed links ``(a, b)`` of ``buckets(bucket, node)``; ``check`` keeps the true pairs.
+def leftover_pairs(buckets: DataFrame, labels: DataFrame, held: DataFrame, near) -> DataFrame:
+    """Pairs ``(a, b)`` of a bucket, ``a < b``, whose ends differ in component and are ``near``.
 
-    First each member meets its bucket's least and greatest node. Then, ``rounds`` times at most,
-    members of buckets that are not yet one component meet a member drawn by a hash, if it is in
-    another component, and one drawn from the components other than that one's. The rounds end
-    early when one finds no link. A link whose ends meet no drawn member that ties them stays
-    unseen; similar nodes share several buckets, each with draws of its own.
+    ``buckets(bucket, node)``; ``labels(node, comp)`` of linked nodes; ``held(node, ...)`` has what
+    ``near(x, y)`` reads of the two sides, prefixed with ``x`` and ``y``. Members outside a bucket's
+    largest component meet all members of the bucket, in blocks of about ``BLOCK`` by ``BLOCK``;
+    only near pairs leave the join.
     """
-    links = cut(check(star_pairs(buckets)))
-    for r in range(rounds):
-        draw = F.xxhash64(F.lit(r), "bucket", "node")
-        held = (buckets.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-        one = (held.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-                                          F.min_by("node", draw).alias("p"), F.min_by("comp", draw).alias("pc"))
-               .filter("c0 < c1").drop("c0", "c1"))
-        apart = cut(held.join(one, "bucket"))
-        two = (apart.filter("comp <> pc").groupBy("bucket")
-               .agg(F.min_by("node", draw).alias("q"), F.min_by("comp", draw).alias("qc")))
-        first = apart.filter("comp <> pc").select(F.col("p").alias("a"), F.col("node").alias("b"))
-        second = apart.join(two, "bucket").filter("comp <> qc").select(F.col("q").alias("a"), F.col("node").alias("b"))
-        more = cut(check(first.unionByName(second).distinct()))
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-    return links
+    named = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    sizes = named.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
+    mixed = (sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.max("k").alias("top"), F.sum("k").alias("m"))
+             .filter("m > top").select("bucket", "main", "m", (F.col("m") - F.col("top")).alias("r")))
+    part = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "node"), F.ceil(F.col(count) / BLOCK))
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(count) / BLOCK) - 1))
+    rows = cut(named.join(mixed, "bucket").withColumn("rest", F.col("comp") != F.col("main")).drop("main").join(held, "node"))
+    own = ["node", "comp", "rest", *[c for c in held.columns if c != "node"]]
+    side = lambda p: [F.col(c).alias(f"{p}{c}") for c in own]
+    queries = rows.filter("rest").withColumn("rc", part(1, "r")).withColumn("mc", every("m")).select("bucket", "rc", "mc", *side("x_"))
+    members = rows.withColumn("mc", part(2, "m")).withColumn("rc", every("r")).select("bucket", "rc", "mc", *side("y_"))
+    x, y = queries.alias("x"), members.alias("y")
+    met = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("bucket", "rc", "mc")]
+    return (x.join(y, [*met, F.col("x_comp") != F.col("y_comp"), ~F.col("y_rest") | (F.col("x_node") < F.col("y_node")), near("x_", "y_")])
+            .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -290,6 +290,30 @@ def test_lines(spark, odd):
     assert line_dedup.dedup_lines(empty(odd)).count() == 0
 
 
+def near_lines(seed, groups, words=9):
+    """Lines that share most words of one template, in pairs of near copies."""
+    r = random.Random(seed)
+    out = []
+    for g in range(groups):
+        head = [f"{w}{r.randrange(400)}" for w in r.sample(PROSE, words)]
+        line = "Please subscribe to our newsletter and follow the latest news about " + " ".join(head)
+        out += [line, line + " x"]
+    return out
+
+
+def test_lines_hot_bucket(spark):
+    rows = list(enumerate(near_lines(4, 300)))
+    lines = line_dedup._lines(docs_of(spark, [(i, t, "en", "a") for i, t in rows]))
+    nodes = line_dedup._nodes(lines).localCheckpoint()
+    # one bucket holds all lines, so every pair has to be found among hundreds of small clusters
+    hot = nodes.withColumn("bands", F.array(F.lit(1).cast("long")))
+    comp = {r.node: r.comp for r in groups.components(line_dedup.line_links(lines, hot)).collect()}
+    of = {r.first_doc: comp.get(r.k1, r.k1) for r in nodes.collect()}
+    want = {i: root[0] for (i, _), root in components(line_sets(rows)).items()}
+    assert {(i, of[i] == of[j]) for i in of for j in (want[i],)} == {(i, True) for i in of}
+    assert len(set(of.values())) == len(set(want.values())) >= 200
+
+
 # ---------------------------------------------------------------- 9 rules
 def test_rules_odd(spark, odd):
     got = {r.doc_id: r for r in quality_rules.score(odd).collect()}
