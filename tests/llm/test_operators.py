@@ -314,6 +314,25 @@ def test_lines_hot_bucket(spark):
     assert len(set(of.values())) == len(set(want.values())) >= 200
 
 
+def test_lines_whole_shingles(spark):
+    """Against all 5-character shingles of whole lines: URLs, long strings and scripts without spaces too."""
+    r = random.Random(9)
+    thai, khmer = "สวัสดีครับวันนี้อากาศดีมากเราไปเที่ยวทะเลกัน", "សួស្តីអ្នកទាំងអស់គ្នាថ្ងៃនេះអាកាសធាតុល្អណាស់"
+    rows = ["https://www.example.org/articles/2024/11/alpha", "https://www.other.net/shop/item?id=9981",
+            "https://www.example.org/articles/2024/11/alphas", "iVBORw0KGgoAAAANSUhEUgAAxyz81723", "iVBORw0KGgoAAAANSUhEUgAAQQ7gHnbTfp0Lk2Mz",
+            thai, thai[:12] + khmer[:20], khmer, khmer + "។", "X" + thai, "日本語のテキストです。これは長い行になります。", "日本語のテキストです。これは長い行になりますよ。"]
+    for i in range(60):  # a change anywhere in a short line, in a long line and in one long word
+        short, long, word = prose(300 + i, 4), prose(400 + i, 30), "".join(r.choice("abcdefghij0123456789/") for _ in range(60))
+        for line in (short, long, word):
+            at = r.randrange(len(line))
+            rows += [line, line[:at] + "#" + line[at + 1:], line + str(i)]
+    sets = {(i, 0): {t[k:k + 5] for k in range(len(t) - 4)} for i, t in enumerate(rows)}
+    comp = components(sets)
+    got = {x.doc_id: x.n_dropped_lines for x in line_dedup.dedup_lines(docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(rows)])).collect()}
+    assert got == {i: int(c != (i, 0)) for (i, _), c in comp.items()}
+    assert got[1] == got[4] == got[6] == got[7] == 0 and got[2] == got[8] == got[9] == 1
+
+
 # ---------------------------------------------------------------- 9 rules
 def test_rules_odd(spark, odd):
     got = {r.doc_id: r for r in quality_rules.score(odd).collect()}
