@@ -4,15 +4,13 @@ A passage of ``MIN_WORDS`` words or more that occurs at two places is found at e
 every window of ``WINDOW`` consecutive ``GRAM``-word grams the place of the least gram hash is
 retained, so two equal passages retain the same place within their first ``WINDOW`` words, and
 the suffixes there agree for ``MIN_WORDS - WINDOW + 1`` words or more: that is the key. Suffixes
-with a key of their own end there. The others are sorted by the words after the key; each is
-compared with its neighbours, also in the order of the words before it, and the match is extended
-left and right. Matches of ``MIN_WORDS`` or more words are spans; overlapping spans of a document
-are joined.
+with a key of their own end there. Of the others every window of ``MIN_WORDS`` words that holds the
+key, ``WINDOW`` at most, is hashed; two suffixes with an equal window at the same distance from the
+key are a repeat. Overlapping spans of a document are joined.
 
-Keys are counted by a partial aggregate and joined back (AQE splits hot keys). A key with more
-than ``GROUP`` suffixes is dealt over several tasks, each comparing its own share. Contexts have
-a fixed size: ``WINDOW - 1`` words before and ``WINDOW`` words after the key, enough to join the
-spans of neighbouring retained places.
+Keys are counted by a partial aggregate and joined back (AQE splits hot keys). A key with up to
+``GROUP`` suffixes is compared in one task. The windows of a hotter key are rows of their own,
+counted and joined back like keys, so every pair is seen at any size.
 
 Words are runs without ASCII white space, case kept. Null texts and texts of fewer than
 ``MIN_WORDS`` words have no span. A repeat inside one document counts as well. Repeated rows are
@@ -26,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, grams, slices, word_hashes
+from .common import cut, grams, mix64, slices, word_hashes
 
 MIN_WORDS, GRAM, WINDOW, GROUP = 50, 8, 32, 2000
 KEY = MIN_WORDS - WINDOW + 1
@@ -65,9 +63,9 @@ def _suffixes(batches):
 
 
 def _contexts(batches):
-    """(doc_id, text, places) -> key, doc_id, pos, right and left context as 32-bit word hashes.
+    """(doc_id, text, places) -> key, doc_id, pos, hashes of the windows that begin 0, 1, .. words before.
 
-    Zero stands for a place outside the text and equals nothing.
+    Zero stands for a window that leaves the text and equals nothing.
     """
     for batch in batches:
         for part in slices(batch, "text"):
@@ -76,79 +74,80 @@ def _contexts(batches):
             pos = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             text = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
             at = pos + starts[text]
-            small = (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-            def around(first: int, step: int, n: int) -> np.ndarray:
-                i = at[:, None] + first + step * np.arange(n)[None, :]
-                ok = (i >= starts[text][:, None]) & (i < starts[text + 1][:, None])
-                out = np.zeros(i.shape, np.uint32)
-                out[ok] = small[i[ok]]
-                return out
-            def binary(x: np.ndarray) -> pa.Array:
-                return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer((np.arange(len(x) + 1) * x.shape[1] * 4).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+            tens, n = grams(hashes, 10), max(0, len(hashes) - MIN_WORDS + 1)
+            whole = np.zeros(n, np.uint64)
+            for i in range(0, MIN_WORDS, 10):
+                whole = mix64(whole + tens[i:i + n])
+            begin = at[:, None] - np.arange(WINDOW)[None, :]
+            ok = (begin >= starts[text][:, None]) & (begin + MIN_WORDS <= starts[text + 1][:, None])
+            windows = np.zeros(begin.shape, np.uint64)
+            windows[ok] = mix64(whole[begin[ok]] + np.nonzero(ok)[1].astype(np.uint64)) | np.uint64(1)
             keys = grams(hashes, KEY)[at] if len(at) else np.zeros(0, np.uint64)
+            flat = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((np.arange(len(at) + 1) * WINDOW * 8).astype(np.int32)), pa.py_buffer(windows)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), part.column("doc_id").take(pa.array(text)), pa.array(pos),
-                 binary(around(KEY, 1, WINDOW)), binary(around(-1, -1, WINDOW - 1))],
-                ["key", "doc_id", "pos", "after", "before"])
+                [pa.array(keys.view(np.int64)), part.column("doc_id").take(pa.array(text)), pa.array(pos), flat],
+                ["key", "doc_id", "pos", "windows"])
 
 
-def _run(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common begin of each pair of rows."""
-    differ = (a != b) | (a == 0)
-    return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
+def _windows_of(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("windows").to_pylist()), np.uint64).reshape(table.num_rows, WINDOW)
 
 
-def _neighbours(batches):
-    """Rows sorted by (key, salt, after) -> spans (doc_id, begin_word, end_word)."""
+def _repeated(batches):
+    """Rows sorted by key -> spans (doc_id, begin_word, end_word), the joined repeated windows of each suffix."""
     def spans(table: pa.Table) -> pa.RecordBatch:
-        n = table.num_rows
-        read = lambda c, w: np.frombuffer(table.column(c).combine_chunks().buffers()[2], np.uint32)[:n * w].reshape(n, w)
-        table = table.combine_chunks()
-        after, before = read("after", WINDOW), read("before", WINDOW - 1)
-        key = table.column("key").to_numpy() * 31 + table.column("salt").to_numpy()
-        pos, doc = table.column("pos").to_numpy(), table.column("doc_id").to_numpy()
-        group = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])]) if n else key
-        left = np.ascontiguousarray(before).view(f"S{before.shape[1] * 4}").ravel()
-        out = []
-        for order in (np.arange(n), np.lexsort((left, group))):
-            i, j = order[:-1], order[1:]
-            same = group[i] == group[j]
-            i, j = i[same], j[same]
-            r, x = _run(after[i], after[j]), _run(before[i], before[j])
-            long = r + x + KEY >= MIN_WORDS
-            for k in (i[long], j[long]):
-                out.append((doc[k], pos[k] - x[long], pos[k] + KEY + r[long]))
-        doc, a, b = (np.concatenate(c) for c in zip(*out))
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(a), pa.array(b)], ["doc_id", "begin_word", "end_word"])
+        windows = _windows_of(table)
+        _, where, n = np.unique(windows, return_inverse=True, return_counts=True)
+        twice = (n[where.reshape(windows.shape)] > 1) & (windows != 0)
+        hit = twice.any(axis=1)
+        twice, pos, doc = twice[hit], table.column("pos").to_numpy()[hit], table.column("doc_id").to_numpy()[hit]
+        near, far = twice.argmax(axis=1), WINDOW - 1 - twice[:, ::-1].argmax(axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(pos - far), pa.array(pos - near + MIN_WORDS)], ["doc_id", "begin_word", "end_word"])
 
     held = None
     for batch in batches:
         t = pa.Table.from_batches([batch])
-        # contiguous buffers: a slice of a batch shares its parent's
         t = pa.concat_tables([held, t]) if held is not None else t
-        key, salt = t.column("key").to_numpy(), t.column("salt").to_numpy()
-        cuts = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1]))
+        key = t.column("key").to_numpy()
+        cuts = np.flatnonzero(key[1:] != key[:-1])
         whole = int(cuts[-1]) + 1 if len(cuts) else 0
         if whole:
-            yield spans(t.take(pa.array(np.arange(whole))))
-        held = t.take(pa.array(np.arange(whole, t.num_rows)))
+            yield spans(t.slice(0, whole))
+        held = t.slice(whole).combine_chunks()
     if held is not None and held.num_rows:
         yield spans(held)
 
 
+def _singly(batches):
+    """One row per window of each suffix: window, doc_id, begin_word."""
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        windows = _windows_of(t)
+        row, back = np.nonzero(windows)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(windows[row, back].view(np.int64)), pa.array(t.column("doc_id").to_numpy()[row]), pa.array(t.column("pos").to_numpy()[row] - back)],
+            ["window", "doc_id", "begin_word"])
+
+
 def find(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` -> doc_id, begin_word, end_word (exclusive), n_words: one row per joined span."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text IS NOT NULL AND doc_id IS NOT NULL")
     suffixes = rows.mapInArrow(_suffixes, "key long, doc_id long, pos int")
     often = cut(suffixes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
-    met = cut(suffixes.join(often, "key").select("doc_id", "pos").distinct())
-    places = met.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("places"))
-    around = (rows.join(places, "doc_id")
-              .mapInArrow(_contexts, "key long, doc_id long, pos long, after binary, before binary"))
-    dealt = (around.join(often, "key")
-             .withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.ceil(F.col("n") / GROUP)).cast("long")).drop("n")
-             .repartition("key", "salt").sortWithinPartitions("key", "salt", "after", "doc_id", "pos"))
-    spans = dealt.mapInArrow(_neighbours, "doc_id long, begin_word long, end_word long").distinct()
+    met = cut(suffixes.join(often, "key").select("doc_id", "pos", (F.col("n") > GROUP).alias("hot")).distinct())
+
+    def around(which: DataFrame) -> DataFrame:
+        places = which.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("places"))
+        return rows.join(places, "doc_id").mapInArrow(_contexts, "key long, doc_id long, pos long, windows binary")
+
+    spans = (around(met.filter("NOT hot")).repartition("key").sortWithinPartitions("key")
+             .mapInArrow(_repeated, "doc_id long, begin_word long, end_word long"))
+    if not often.filter(F.col("n") > GROUP).isEmpty():
+        single = cut(around(met.filter("hot")).mapInArrow(_singly, "window long, doc_id long, begin_word long"))
+        twice = single.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1")
+        spans = spans.unionByName(single.join(twice, "window").select(
+            "doc_id", "begin_word", (F.col("begin_word") + MIN_WORDS).alias("end_word")))
+    spans = spans.distinct()
     w = Window.partitionBy("doc_id").orderBy("begin_word", "end_word")
     far = F.max("end_word").over(w.rowsBetween(Window.unboundedPreceding, -1))
     return (spans.withColumn("new", F.coalesce(F.col("begin_word") > far, F.lit(True)).cast("int"))

@@ -180,6 +180,28 @@ def test_repeats(spark, odd):
     assert repeats.find(empty(odd)).count() == 0
 
 
+@pytest.mark.parametrize("size", [4, 2000])
+def test_repeats_hot_heads(spark, monkeypatch, size):
+    """A head in many texts, continued or begun alike in two of them only: the size of its group changes nothing."""
+    head, texts = prose(21, 44), []
+    for p in range(20):
+        left, right = prose(100 + p, 3), prose(200 + p, 3)
+        for k in (0, 1):  # 50 words on both; others share 49 with one of them, more on one side
+            l2, r2 = prose(300 + 2 * p + k, 2), prose(400 + 2 * p + k, 2)
+            own = lambda i: prose(1000 + 20 * p + 10 * k + i, 12)
+            texts += [f"{own(0)} {l2} {left} {head} {right} {r2} {own(1)}"]
+            texts += [f"{own(2 + i)} {head} {right} {r2} {own(4 + i)}" for i in (0, 1)]
+            texts += [f"{own(6 + i)} {l2} {left} {head} {own(8 + i)}" for i in (0, 1)]
+        tail = prose(600 + p, 7)
+        texts += [f"{prose(700 + 2 * p + k, 30)} {head} {tail} {prose(800 + 2 * p + k, 20)}" for k in (0, 1)]
+    want = repeated_words(texts)
+    monkeypatch.setattr(repeats, "GROUP", size)
+    got = defaultdict(set)
+    for r in repeats.find(docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect():
+        got[r.doc_id].update(range(r.begin_word, r.end_word))
+    assert got == want and 40 <= len(got) < len(texts)
+
+
 # ---------------------------------------------------------------- 5 language
 def test_language(spark, odd):
     docs = table(spark, SF, "documents")
