@@ -4,8 +4,8 @@ A passage of ``MIN_WORDS`` words or more that occurs at two places is found at e
 every window of ``WINDOW`` consecutive ``GRAM``-word grams the place of the least gram hash is
 retained, so two equal passages retain the same place within their first ``WINDOW`` words, and
 the suffixes there agree for ``MIN_WORDS - WINDOW + 1`` words or more: that is the key. Suffixes
-with a key of their own end there. Of the others every window of ``MIN_WORDS`` words that holds the
-key, ``WINDOW`` at most, is hashed; two suffixes with an equal window at the same distance from the
+with a key of their own end there. Of the others every window of ``MIN_WORDS`` words that retains
+the place, ``WINDOW`` at most, is hashed; two suffixes with an equal window at the same distance from the
 key are a repeat. Overlapping spans of a document are joined.
 
 Keys are counted by a partial aggregate and joined back (AQE splits hot keys). A key with up to
@@ -30,17 +30,21 @@ MIN_WORDS, GRAM, WINDOW, GROUP = 50, 8, 32, 2000
 KEY = MIN_WORDS - WINDOW + 1
 
 
-def retained(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Retained places (in the run of all words) and the number of the text of each."""
+def least_places(hashes: np.ndarray) -> np.ndarray:
+    """For each run of ``WINDOW`` grams of all words, the place of its least gram."""
     g = grams(hashes, GRAM)
     if len(g) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    places = []
+        return np.zeros(0, np.int64)
     view = np.lib.stride_tricks.sliding_window_view(g, WINDOW)
-    for a in range(0, len(view), 1 << 16):
-        part = view[a:a + (1 << 16)]
-        places.append(part.argmin(axis=1) + np.arange(a, a + len(part)))
-    places = np.concatenate(places)
+    parts = [view[a:a + (1 << 16)].argmin(axis=1) for a in range(0, len(view), 1 << 16)]
+    return np.concatenate(parts) + np.arange(len(view))
+
+
+def retained(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Retained places (in the run of all words) and the number of the text of each."""
+    places = least_places(hashes)
+    if not len(places):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.arange(len(places))
     text = np.searchsorted(starts, first, side="right") - 1
     inside = first + WINDOW + GRAM - 1 <= starts[text + 1]
@@ -65,7 +69,7 @@ def _suffixes(batches):
 def _contexts(batches):
     """(doc_id, text, places) -> key, doc_id, pos, hashes of the windows that begin 0, 1, .. words before.
 
-    Zero stands for a window that leaves the text and equals nothing.
+    Zero stands for a window that leaves the text or retains another place, and equals nothing.
     """
     for batch in batches:
         for part in slices(batch, "text"):
@@ -80,6 +84,7 @@ def _contexts(batches):
                 whole = mix64(whole + tens[i:i + n])
             begin = at[:, None] - np.arange(WINDOW)[None, :]
             ok = (begin >= starts[text][:, None]) & (begin + MIN_WORDS <= starts[text + 1][:, None])
+            ok[ok] = least_places(hashes)[begin[ok]] == np.broadcast_to(at[:, None], ok.shape)[ok]
             windows = np.zeros(begin.shape, np.uint64)
             windows[ok] = mix64(whole[begin[ok]] + np.nonzero(ok)[1].astype(np.uint64)) | np.uint64(1)
             keys = grams(hashes, KEY)[at] if len(at) else np.zeros(0, np.uint64)
@@ -140,8 +145,8 @@ def find(docs: DataFrame) -> DataFrame:
         places = which.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("places"))
         return rows.join(places, "doc_id").mapInArrow(_contexts, "key long, doc_id long, pos long, windows binary")
 
-    spans = (around(met.filter("NOT hot")).repartition("key").sortWithinPartitions("key")
-             .mapInArrow(_repeated, "doc_id long, begin_word long, end_word long"))
+    spans = cut(around(met.filter("NOT hot")).repartition("key").sortWithinPartitions("key")
+                .mapInArrow(_repeated, "doc_id long, begin_word long, end_word long"))
     if not often.filter(F.col("n") > GROUP).isEmpty():
         single = cut(around(met.filter("hot")).mapInArrow(_singly, "window long, doc_id long, begin_word long"))
         twice = single.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1")
