@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sizes import SF_SMALL
 from tessera.operators import dedup as D
 from tessera.operators import graph_match as GM
 from tessera.operators import result_compare as RC

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from sizes import SF_SMALL
 from oracle_check import TABLES, rows_of
 
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from sizes import SF_SMALL
 
 
 def plan_text(df):

@@ -104,7 +104,7 @@ def test_s5_s6_extraction(spark):
 
 def test_s3_normal_form_is_a_fixed_point(spark):
     """The second normalisation of H4 is skipped in H6 because it cannot change the text."""
-    from conftest import SF_SMALL
+    from sizes import SF_SMALL
     from tessera.plans import fixtures as X
 
     texts = X.doc_corpus(spark, SF_SMALL).select(F.col("query").alias("x")).unionByName(
