@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 from brute import WORD, components, edits_within, repeated_words, shingles
-from conftest import SF, docs_of
+from llm_data import SF, docs_of
 from pyspark.sql import functions as F
 
 from tessera.llm import (decontaminate, groups, html_wrapper, lang_id, line_dedup, mixing, near_dedup, quality_lm,
@@ -326,7 +326,7 @@ def near_lines(seed, groups, words=9):
 def test_lines_hot_bucket(spark):
     rows = list(enumerate(near_lines(4, 300)))
     lines = line_dedup._lines(docs_of(spark, [(i, t, "en", "a") for i, t in rows]))
-    nodes = line_dedup._nodes(lines).localCheckpoint()
+    nodes = line_dedup._nodes(lines).checkpoint()
     # one bucket holds all lines, so every pair has to be found among hundreds of small clusters
     hot = nodes.withColumn("bands", F.array(F.lit(1).cast("long")))
     comp = {r.node: r.comp for r in groups.components(line_dedup.line_links(lines, hot)).collect()}

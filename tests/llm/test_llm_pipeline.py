@@ -1,8 +1,8 @@
 """The pipeline's stages: contracts, effect of decisions, and edge cases."""
 
 import corpus_pipeline as C
-from conftest import SF, docs_of
-from test_operators import empty, prose
+from llm_data import SF, docs_of
+from test_llm_operators import empty, prose
 
 from tessera.llm.common import table
 
