@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, html_wrapper, lang_id, line_dedup, mixing, near_dedup, quality_lm, quality_rules, repeats, secrets
+from . import (conv_trie, decontaminate, fill_middle, html_wrapper, lang_id, line_dedup, mixing, near_dedup, quality_lm, quality_rules,
+               repeats, secrets, url_filter)
 from .common import table
 from .oracles import ORACLE
 
@@ -54,10 +56,25 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conv_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_wrapper, op2_minhash_near_dedup, op3_mix_sources, op4_repeated_passages, op5_language_id,
-        op6_quality_classifier, op7_decontaminate, op8_line_dedup, op9_quality_rules, op10_secret_scan)}
+        op6_quality_classifier, op7_decontaminate, op8_line_dedup, op9_quality_rules, op10_secret_scan,
+        op11_conversation_trie, op12_fill_in_middle, op13_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

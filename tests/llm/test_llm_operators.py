@@ -31,7 +31,7 @@ def empty(df):
 
 def same_rows(spark, key, sf=SF):
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark", "pages"):
+    for t in ("documents", "labels", "benchmark", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     got = registry.queries()[key](spark, sf)
     cols = sorted(got.columns)
