@@ -124,7 +124,8 @@ def name_prefixes(blocks: dict[int, DataFrame], lengths: DataFrame, root: int, t
             items = items.unionByName(whole.withColumn("left", F.lit(None).cast("long")))
         block = blocks[s].filter(F.col("k") % 2 == 0).select(F.col("conv_id").alias("conv"), (F.col("k") * s).alias("o"), *_UNIT)
         held = items.join(block, ["conv", "o"])
-        names = held.groupBy("o", "root", *_UNIT).agg(F.min("conv").alias("name"), F.sum("w").alias("members"))
+        # cut here, so that the join back has plain exchanges on both sides, which AQE can split at a hot prefix
+        names = cut(held.groupBy("o", "root", *_UNIT).agg(F.min("conv").alias("name"), F.sum("w").alias("members")))
         named = cut(held.join(names, ["o", "root", *_UNIT]).drop(*_UNIT))
         upper = named.filter("conv = name").select("o", "root", "conv", F.col("members").alias("w"))
         lower = named.filter("left IS NULL").select((F.col("o") + s).alias("o"), F.col("name").alias("root"), "conv", "w")
