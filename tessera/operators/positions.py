@@ -71,3 +71,24 @@ def with_position(
         .withColumn(name, (F.col("__off") + F.col("__rn") - 1).cast("long"))
         .drop(*levels, "__rn", "__off")
     )
+
+
+def rank_in_groups(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "pos") -> DataFrame:
+    """Add ``name``: the 0-based place of each row within its group, by ``order``; rows are written once.
+
+    Rows are range-partitioned by group and order together, so a group of any size is spread over
+    tasks; only the counts of (group, partition) meet in a window, one row per partition a group
+    lies in. Rows of equal order are numbered in any order.
+    """
+    from ..plans.session import checkpointed
+
+    group, order = list(group), list(order)
+    placed = checkpointed(df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+                          .withColumn("__id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__part", F.shiftright("__id", 33))
+    parts = placed.groupBy(*group, "__part").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    run = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("__before", F.coalesce(F.sum("__n").over(run), F.lit(0))).drop("__n")
+    return (placed.join(parts, [*group, "__part"])
+            .withColumn(name, F.col("__id") - F.col("__first") + F.col("__before"))
+            .drop("__id", "__part", "__first", "__before"))

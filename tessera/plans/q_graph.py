@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import cleaning as FC
 from ..operators import graph_match as GM
 from ..operators import graph_profile as GP
+from ..operators import overlap as OV
 from ..operators import responses as ORS
 from ..operators import result_compare as RC
 from ..operators import runs as OR
@@ -410,6 +411,30 @@ def q_identical(spark, sf_dir):
     return GM.identical_targets(G.edges(spark, sf_dir), "SUPPLIED_BY")
 
 
+_SHARED = G.DUCK_GRAPH + """
+, d AS (SELECT DISTINCT src AS node, dst AS target FROM edge WHERE type = 'SUPPLIED_BY')
+, s AS (SELECT node, COUNT(*) AS n, string_agg(target, ',' ORDER BY target) AS tset FROM d GROUP BY node)
+, g AS (SELECT tset, min(node) AS class, COUNT(*) AS class_size FROM s GROUP BY tset)
+"""
+SHARED_PERCENT = 60
+
+
+@register("shared_targets", "N", _SHARED + f"""
+, r AS (SELECT d.node, d.target, s.n FROM d JOIN s USING (node) JOIN g ON g.class = s.node)
+, p AS (SELECT x.node AS a, y.node AS b, x.n AS n_a, y.n AS n_b, COUNT(*) AS n_both FROM r x JOIN r y
+        ON x.target = y.target AND x.node < y.node AND 100 * least(x.n, y.n) >= {SHARED_PERCENT} * greatest(x.n, y.n)
+        GROUP BY ALL)
+SELECT * FROM p WHERE 100 * n_both >= {SHARED_PERCENT} * (n_a + n_b - n_both)""")
+def q_shared_targets(spark, sf_dir):
+    return OV.shared_targets(G.edges(spark, sf_dir), "SUPPLIED_BY", percent=SHARED_PERCENT)[0]
+
+
+@register("shared_targets_members", "N", _SHARED + """
+SELECT s.node, s.n, g.class, g.class_size FROM s JOIN g USING (tset)""")
+def q_shared_targets_members(spark, sf_dir):
+    return OV.target_classes(OV.target_sets(G.edges(spark, sf_dir), "SUPPLIED_BY"))
+
+
 @register("duplicate_property", "N", """
 , m AS (SELECT 'p' || p_partkey AS id, p_name AS value FROM part)
 SELECT m.id, m.value, g.group_size FROM m JOIN (SELECT value, COUNT(*) AS group_size FROM m GROUP BY value HAVING COUNT(*) > 1) g
