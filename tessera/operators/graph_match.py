@@ -13,9 +13,13 @@ origin.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
+
+from ..plans.session import checkpointed
 
 
 def match_nodes(nodes: DataFrame, label: str, predicate: Column | None = None) -> DataFrame:
@@ -56,14 +60,6 @@ def expand(frontier: DataFrame, edges: DataFrame, types=None, direction: str = "
     return frontier.join(d, frontier[id_col] == d["node"], how).drop("node")
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's shared ``spark.checkpoint.dir`` (never local)."""
-    from ..plans.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _hops(first: int, max_hops: int | None):
     h = first
     while max_hops is None or h <= max_hops:
@@ -75,90 +71,172 @@ def expand_var(starts: DataFrame, edges: DataFrame, types=None, *, min_hops: int
                direction: str = "out", id_col: str = "id") -> DataFrame:
     """Variable-length reachability: distinct (start, end) with the least hop count >= ``min_hops``.
 
-    Breadth-first: each hop joins the frontier to the edges. Below ``min_hops`` the frontier holds
-    all pairs joined by a walk of just that length; from there on, pairs already found are removed
-    (left anti join), so cycles terminate. The start itself is reported when a cycle leads back to
-    it, or at hop 0 when ``min_hops`` is 0.
+    Breadth-first from 64 starts at once: starts are numbered, each chunk of 64 has one row per node
+    with a long of the starts that reached it and one of those that did so at this hop. A hop joins
+    the new rows to the edges and merges them into the state by one aggregate (``bit_or``), so what
+    is shuffled grows with nodes and chunks, not with (start, node) pairs; pairs are listed at the
+    end. Below ``min_hops`` the new bits are all walks of just that length; from there on only starts
+    not seen before go on, so cycles terminate. The start itself is reported when a cycle leads back
+    to it, or at hop 0 when ``min_hops`` is 0.
     """
     if min_hops < 0:
         raise ValueError("min_hops must be 0 or more")
-    d = _checkpoint(directed(edges, types, direction).select("node", "other").distinct())
-    frontier = starts.select(F.col(id_col).alias("start"), F.col(id_col).alias("node")).distinct()
-    found = frontier.withColumn("hops", F.lit(0)).filter(F.lit(min_hops == 0))
-    visited = frontier if min_hops == 0 else None
+    d = checkpointed(directed(edges, types, direction).select("node", "other").distinct())
+    at = F.col("__id")
+    numbered = checkpointed(starts.select(F.col(id_col).alias("start")).distinct()
+                            .withColumn("__id", F.monotonically_increasing_id())
+                            .select("start", F.shiftright(at, 6).alias("chunk"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit")))
+    none, bits = F.lit(0).cast("long"), F.bit_or(F.expr("shiftleft(1L, bit)"))
+    first = numbered.groupBy("chunk", F.col("start").alias("node")).agg(bits.alias("new"))
+    state = checkpointed(first.withColumn("seen", F.col("new") if min_hops == 0 else none))
+    found = [state.withColumn("hops", F.lit(0))] if min_hops == 0 else []
     for h in _hops(1, max_hops):
-        nxt = frontier.join(d, "node").select("start", F.col("other").alias("node")).distinct()
-        if visited is not None:
-            nxt = nxt.join(visited, ["start", "node"], "left_anti")
-        nxt = _checkpoint(nxt)
-        if nxt.isEmpty():
+        step = (state.filter("new <> 0").join(d, "node")
+                .select("chunk", F.col("other").alias("node"), none.alias("seen"), F.col("new").alias("met")))
+        if h > min_hops:
+            step = step.unionByName(state.select("chunk", "node", "seen", none.alias("met")))
+        merged = step.groupBy("chunk", "node").agg(F.bit_or("seen").alias("seen"), F.bit_or("met").alias("met"))
+        state = checkpointed(merged.select(
+            "chunk", "node", F.col("met").bitwiseAND(F.bitwise_not("seen")).alias("new"),
+            (F.col("seen").bitwiseOR(F.col("met")) if h >= min_hops else none).alias("seen")))
+        if state.filter("new <> 0").isEmpty():
             break
         if h >= min_hops:
-            found = found.unionByName(nxt.withColumn("hops", F.lit(h)))
-            # a union of checkpointed pieces has shallow lineage: only the new frontier is written
-            visited = nxt if visited is None else visited.unionByName(nxt)
-        frontier = nxt
-    return found.select("start", F.col("node").alias("end"), F.col("hops").cast("long").alias("hops"))
+            found.append(state.filter("new <> 0").withColumn("hops", F.lit(h)))
+    names = numbered.groupBy("chunk").agg(F.map_from_entries(F.collect_list(F.struct("bit", "start"))).alias("names"))
+    if not found:
+        found = [state.limit(0).withColumn("hops", F.lit(0))]
+    rows = reduce(DataFrame.unionByName, (f.select("chunk", "node", "new", "hops") for f in found)).join(names, "chunk")
+    start = F.explode(F.expr("transform(filter(sequence(0, 63), i -> getbit(new, i) = 1), i -> element_at(names, i))")).alias("start")
+    return rows.select(start, F.col("node").alias("end"), F.col("hops").cast("long").alias("hops"))
+
+
+def _plain_steps(edges: DataFrame, types, direction: str) -> DataFrame:
+    d = directed(edges, types, direction).select("node", "other").distinct()
+    return checkpointed(d.withColumn("rel", F.lit(None).cast("string")))
+
 
+def shortest_path(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, *, max_hops: int | None,
+                  direction: str = "out", id_col: str = "id", min_hops: int = 1) -> DataFrame:
+    """One shortest path per reachable (start, end); ties go to the smallest node sequence."""
+    r = _least_walks(starts, ends, _plain_steps(edges, types, direction), max_hops, id_col, min_hops)
+    return r.select("start", "end", "hops", _nodes_of())
 
-def _paths(starts: DataFrame, steps: DataFrame, max_hops: int | None, id_col: str, keep_all: bool):
-    """Paths from each start that reach a node first at their length, as (start, node, hops, walk).
 
-    ``steps(node, other, rel)``; a walk is the nodes, and the relationship taken to each but the
-    first. With ``keep_all`` every such path is kept, else the smallest per (start, node).
+def _least_walks(starts: DataFrame, ends: DataFrame, steps: DataFrame, max_hops: int | None, id_col: str, min_hops: int) -> DataFrame:
+    """The smallest shortest walk per reachable (start, end), from two frontiers that meet: (start, end, hops, walk).
+
+    Walks grow from the starts and, over reversed steps, from the ends, in turn. Each side keeps the
+    smallest walk per pair, which is exact: of two walks to one node (from one node) of one length
+    the smaller one stays smaller when continued. After each hop the two frontiers meet on their
+    nodes; a pair of distance L is met when their depths add up to L, so each side goes half way.
+    A smallest walk's halves are smallest walks to and from the node between them, so the smallest
+    joined walk of the first meeting is the answer. When one side has no new node, or every
+    pair is met, that is all.
     """
     none = F.lit(None).cast(steps.schema["rel"].dataType)
-    cur = starts.select(F.col(id_col).alias("start"), F.col(id_col).alias("node"),
-                        F.array(F.struct(F.col(id_col).alias("node"), none.alias("rel"))).alias("walk")).distinct()
-    reached = cur.select("start", "node", F.lit(0).alias("hops"), "walk")
-    visited = cur.select("start", "node")
+    here = F.array(F.struct(F.col("node").alias("node"), none.alias("rel")))
+    fore = starts.select(F.col(id_col).alias("start"), F.col(id_col).alias("node")).distinct().withColumn("walk", here)
+    back = ends.select(F.col(id_col).alias("end"), F.col(id_col).alias("node")).distinct()
+    back = back.withColumn("tail", F.slice(here, 1, 0))
+    fore, back = checkpointed(fore), checkpointed(back)
+    seen = {"start": [fore.select("start", "node")], "end": [back.select("end", "node")]}
+    met = [checkpointed(fore.join(back, "node").select("start", "end", F.lit(0).alias("hops"), "walk"))]
+    open_pairs = fore.count() * back.count() - met[0].count()
+    turned = steps.select(F.col("other").alias("node"), F.col("node").alias("other"), "rel")
     for h in _hops(1, max_hops):
-        ext = cur.join(steps, "node").select("start", F.col("other").alias("node"),
-                                             F.concat("walk", F.array(F.struct(F.col("other").alias("node"), "rel"))).alias("walk"))
-        ext = ext.join(visited, ["start", "node"], "left_anti")
-        if not keep_all:
-            ext = ext.groupBy("start", "node").agg(F.min("walk").alias("walk"))
-        ext = _checkpoint(ext)
-        if ext.isEmpty():
+        if not open_pairs:
             break
-        reached = reached.unionByName(ext.withColumn("hops", F.lit(h)))
-        visited = visited.unionByName(ext.select("start", "node").distinct())
-        cur = ext
-    return reached
-
+        if h % 2:
+            ext = fore.join(steps, "node").select("start", F.col("other").alias("node"), F.concat(
+                "walk", F.array(F.struct(F.col("other").alias("node"), "rel"))).alias("walk"))
+            fore = new = _unseen(ext, seen["start"], "start", "walk")
+        else:
+            ext = back.join(turned, "node").select("end", F.col("other").alias("node"), F.concat(
+                F.array(F.struct(F.col("node").alias("node"), "rel")), "tail").alias("tail"))
+            back = new = _unseen(ext, seen["end"], "end", "tail")
+        if new.isEmpty():
+            break
+        whole = fore.join(back, "node").select("start", "end", F.concat("walk", "tail").alias("walk"))
+        known = reduce(DataFrame.unionByName, (m.select("start", "end") for m in met))
+        met.append(checkpointed(whole.join(known, ["start", "end"], "left_anti").groupBy("start", "end")
+                                .agg(F.min("walk").alias("walk")).select("start", "end", F.lit(h).alias("hops"), "walk")))
+        open_pairs -= met[-1].count()
+    every = reduce(DataFrame.unionByName, met)
+    return every.filter(F.col("hops") >= min_hops).select("start", "end", F.col("hops").cast("long").alias("hops"), "walk")
+
+
+def _unseen(ext: DataFrame, seen: list[DataFrame], side: str, walk: str) -> DataFrame:
+    """The smallest walk to each node that this side has not come to before; ``seen`` grows by them."""
+    known = reduce(DataFrame.unionByName, seen)
+    new = checkpointed(ext.join(known, [side, "node"], "left_anti").groupBy(side, "node").agg(F.min(walk).alias(walk)))
+    seen.append(new.select(side, "node"))
+    return new
+
+
+def shortest_dag(starts: DataFrame, steps: DataFrame, max_hops: int | None, id_col: str = "id") -> tuple[DataFrame, list[DataFrame]]:
+    """All shortest paths from each start as predecessor rows, with their number, without listing one.
+
+    ``steps(node, other, rel)``. Gives ``reached(start, node, hops, n_paths)`` and, for each hop, the
+    rows ``(start, node, parent, rel)``: a shortest path to ``node`` comes from ``parent`` by ``rel``.
+    Their number is at most that of the steps a start can take, however many paths they hold;
+    ``n_paths`` adds up the parents' numbers (decimal, as numbers grow exponentially with hops).
+    """
+    cur = checkpointed(starts.select(F.col(id_col).alias("start"), F.col(id_col).alias("node")).distinct()
+                       .withColumn("n_paths", F.lit(1).cast("decimal(38,0)")))
+    reached, levels = [cur.withColumn("hops", F.lit(0).cast("long"))], []
+    for h in _hops(1, max_hops):
+        ext = cur.join(steps, "node").select("start", F.col("other").alias("node"), F.col("node").alias("parent"), "rel", "n_paths")
+        known = reduce(DataFrame.unionByName, (r.select("start", "node") for r in reached))
+        level = checkpointed(ext.join(known, ["start", "node"], "left_anti"))
+        if level.isEmpty():
+            break
+        cur = checkpointed(level.groupBy("start", "node").agg(F.sum("n_paths").cast("decimal(38,0)").alias("n_paths")))
+        reached.append(cur.withColumn("hops", F.lit(h).cast("long")))
+        levels.append(level.drop("n_paths"))
+    return reduce(DataFrame.unionByName, reached), levels
 
-def _reach(starts, ends, steps, max_hops, id_col, keep_all, min_hops=1) -> DataFrame:
-    r = _paths(starts, steps, max_hops, id_col, keep_all)
-    e = ends.select(F.col(id_col).alias("node")).distinct()
-    return r.join(e, "node", "left_semi").filter(F.col("hops") >= min_hops).select(
-        "start", F.col("node").alias("end"), F.col("hops").cast("long").alias("hops"), "walk")
 
+def unroll(levels: list[DataFrame], asked: DataFrame, rel: DataType) -> DataFrame:
+    """The paths of ``asked(start, end, hops)`` out of ``shortest_dag``'s rows: (start, end, hops, walk).
 
-def _plain_steps(edges: DataFrame, types, direction: str) -> DataFrame:
-    d = directed(edges, types, direction).select("node", "other").distinct()
-    return _checkpoint(d.withColumn("rel", F.lit(None).cast("string")))
+    Paths are followed from their ends, so every row made is a part of a path that is asked for.
+    """
+    node = F.struct(F.col("start").alias("node"), F.lit(None).cast(rel).alias("rel"))
+    blank = F.slice(F.array(node), 1, 0)
+    pairs = asked.select("start", "end", "hops", F.col("end").alias("node")).withColumn("walk", blank)
+    open_ = pairs.limit(0)
+    for h in range(len(levels), 0, -1):
+        here = pairs.filter(F.col("hops") == h).unionByName(open_)
+        open_ = checkpointed(here.join(levels[h - 1], ["start", "node"]).select(
+            "start", "end", "hops", F.col("parent").alias("node"),
+            F.concat(F.array(F.struct(F.col("node").alias("node"), "rel")), "walk").alias("walk")))
+    done = open_.unionByName(pairs.filter("hops = 0"))
+    return done.select("start", "end", "hops", F.concat(F.array(node), "walk").alias("walk"))
+
+
+def _asked(reached: DataFrame, ends: DataFrame, id_col: str, min_hops: int) -> DataFrame:
+    e = ends.select(F.col(id_col).alias("node")).distinct()
+    return reached.filter(F.col("hops") >= min_hops).join(e, "node", "left_semi").withColumnRenamed("node", "end")
 
 
 def _nodes_of(walk: str = "walk") -> Column:
     return F.transform(walk, lambda x: x["node"]).alias("path")
 
 
-def shortest_path(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, *, max_hops: int | None,
-                  direction: str = "out", id_col: str = "id") -> DataFrame:
-    """One shortest path per reachable (start, end); ties go to the smallest node sequence.
-
-    Keeping the smallest path per (start, node) at each depth is exact: paths of one depth are
-    compared prefix first.
-    """
-    r = _reach(starts, ends, _plain_steps(edges, types, direction), max_hops, id_col, keep_all=False)
-    return r.select("start", "end", "hops", _nodes_of())
+def shortest_path_counts(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, *, max_hops: int | None,
+                         direction: str = "out", id_col: str = "id", min_hops: int = 1) -> DataFrame:
+    """How many shortest node sequences lead from each start to each end: (start, end, hops, n_paths)."""
+    reached, _ = shortest_dag(starts, _plain_steps(edges, types, direction), max_hops, id_col)
+    return _asked(reached, ends, id_col, min_hops).select("start", "end", "hops", "n_paths")
 
 
 def all_shortest_paths(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, *, max_hops: int | None,
                        direction: str = "out", id_col: str = "id") -> DataFrame:
     """Every path (node sequence) of minimum length per reachable (start, end)."""
-    r = _reach(starts, ends, _plain_steps(edges, types, direction), max_hops, id_col, keep_all=True)
-    return r.select("start", "end", "hops", _nodes_of())
+    steps = _plain_steps(edges, types, direction)
+    reached, levels = shortest_dag(starts, steps, max_hops, id_col)
+    return unroll(levels, _asked(reached, ends, id_col, 1), steps.schema["rel"].dataType).select("start", "end", "hops", _nodes_of())
 
 
 def shortest_walks(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=None, *, max_hops: int | None,
@@ -176,8 +254,11 @@ def shortest_walks(starts: DataFrame, ends: DataFrame, edges: DataFrame, types=N
     rel = lambda back: F.struct("type", "props", "copy", F.lit(back).alias("back")).alias("rel")
     out = e.select(F.col("src").alias("node"), F.col("dst").alias("other"), rel(False))
     inc = e.select(F.col("dst").alias("node"), F.col("src").alias("other"), rel(True))
-    steps = {"out": out, "in": inc, "both": out.unionByName(inc)}[direction]
-    return _reach(starts, ends, _checkpoint(steps), max_hops, id_col, keep_all=every, min_hops=min_hops)
+    steps = checkpointed({"out": out, "in": inc, "both": out.unionByName(inc)}[direction])
+    if not every:
+        return _least_walks(starts, ends, steps, max_hops, id_col, min_hops)
+    reached, levels = shortest_dag(starts, steps, max_hops, id_col)
+    return unroll(levels, _asked(reached, ends, id_col, min_hops), steps.schema["rel"].dataType)
 
 
 def degree_filter(edges: DataFrame, types, min_exclusive: int, direction: str = "out") -> DataFrame:

@@ -291,30 +291,57 @@ def q_expand_var_all(spark, sf_dir):
     return GM.expand_var(_customer_places(e), e, ["IN", "NEXT"], max_hops=None).select("start", "end")
 
 
-_SP = _WALK + """
-, toreg AS (SELECT * FROM walk WHERE hops >= 1 AND node LIKE 'r%')
-, best AS (SELECT start, node, min(hops) AS h FROM toreg GROUP BY start, node)
-, sp AS (SELECT t.start, t.node, t.hops, t.path FROM toreg t JOIN best b ON b.start = t.start AND b.node = t.node AND b.h = t.hops
-         WHERE list_unique(t.path) = len(t.path))
+# Least hops per (start, node) by a recursion over distinct rows, as long as there are nodes; then
+# only steps that come one hop nearer are walked, so no walk is listed that is not a shortest path.
+def _d_walk(steps: str, starts: str, distinct: bool = False) -> str:
+    """CTE ``walk(start, node, hops, path, types)``: all shortest walks over ``steps`` SQL (src, dst, type)."""
+    return G.DUCK_GRAPH.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, ge AS ({"SELECT DISTINCT src, dst, NULL AS type FROM (" + steps + ")" if distinct else steps})
+, far(start, node, hops) AS (
+    SELECT id, id, 0 FROM ({starts}) s
+    UNION SELECT f.start, ge.dst, f.hops + 1 FROM far f JOIN ge ON ge.src = f.node WHERE f.hops < (SELECT COUNT(DISTINCT dst) FROM ge))
+, best AS (SELECT start, node, min(hops) AS h FROM far GROUP BY start, node)
+, walk(start, node, hops, path, types) AS (
+    SELECT id, id, 0, [id], CAST([] AS VARCHAR[]) FROM ({starts}) s
+    UNION ALL
+    SELECT w.start, ge.dst, w.hops + 1, list_append(w.path, ge.dst), list_append(w.types, ge.type)
+    FROM walk w JOIN ge ON ge.src = w.node JOIN best b ON b.start = w.start AND b.node = ge.dst AND b.h = w.hops + 1)
 """
 
 
-@register("shortest_path", "N", _SP + """
-SELECT start, node AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(min(path), '>') AS path FROM sp GROUP BY start, node, hops""")
+_PLACES = "SELECT DISTINCT dst AS id FROM edge WHERE type = 'IN' AND src LIKE 'c%'"
+_REGIONS = "SELECT id FROM nlab WHERE label = 'Region'"
+_OUT = "SELECT src, dst, type FROM edge WHERE type IN ('IN', 'NEXT') AND src LIKE 'n%'"
+_BACK = "SELECT dst AS src, src AS dst, type FROM edge WHERE type IN ('IN', 'NEXT') AND src LIKE 'n%'"
+_SP = _d_walk(_OUT, _PLACES, distinct=True)
+
+
+@register("shortest_path", "N", _SP + f"""
+SELECT start, node AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(min(path), '>') AS path FROM walk
+WHERE hops > 0 AND node IN ({_REGIONS}) GROUP BY start, node, hops""")
 def q_shortest(spark, sf_dir):
     n, e = _g(spark, sf_dir)
-    s = GM.shortest_path(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e, ["IN", "NEXT"], max_hops=4)
+    s = GM.shortest_path(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e, ["IN", "NEXT"], max_hops=None)
     return s.withColumn("path", joined("path", ">"))
 
 
-@register("all_shortest_paths", "N", _SP + """
-SELECT DISTINCT start, node AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(path, '>') AS path FROM sp""")
+@register("all_shortest_paths", "N", _SP + f"""
+SELECT start, node AS "end", CAST(hops AS BIGINT) AS hops, array_to_string(path, '>') AS path FROM walk
+WHERE hops > 0 AND node IN ({_REGIONS})""")
 def q_all_shortest(spark, sf_dir):
     n, e = _g(spark, sf_dir)
-    s = GM.all_shortest_paths(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e, ["IN", "NEXT"], max_hops=4)
+    s = GM.all_shortest_paths(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e, ["IN", "NEXT"], max_hops=None)
     return s.withColumn("path", joined("path", ">"))
 
 
+@register("shortest_path_counts", "N", _SP + """
+SELECT start, node AS "end", CAST(hops AS BIGINT) AS hops, COUNT(*) AS n_paths FROM walk WHERE hops > 0 GROUP BY start, node, hops""")
+def q_shortest_counts(spark, sf_dir):
+    n, e = _g(spark, sf_dir)
+    c = GM.shortest_path_counts(_customer_places(e), GM.match_nodes(n, "Place").select("id"), e, ["IN", "NEXT"], max_hops=None)
+    return c.withColumn("n_paths", F.col("n_paths").cast("long"))
+
+
 @register("optional_expand", "N", G.DUCK_GRAPH + """
 SELECT 'c' || c_custkey AS id, e.dst AS other FROM customer LEFT JOIN edge e ON e.src = 'c' || c_custkey AND e.type = 'PLACED'""")
 def q_optional(spark, sf_dir):
@@ -469,60 +496,45 @@ SELECT start, "end", to_json(struct_pack(length := len(types), nodes := nodes,
 FROM one JOIN nrec ON nrec.pid = one.pid"""
 
 
-def _d_walk(steps: str, starts: str, ends: str, hops: int, every: bool) -> str:
-    """Shortest walks over ``steps`` SQL (src, dst, type), relationship types kept."""
-    return G.DUCK_GRAPH.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
-, ge AS ({steps})
-, walk(start, node, hops, path, types) AS (
-    SELECT id, id, 0, [id], CAST([] AS VARCHAR[]) FROM ({starts}) s
-    UNION ALL
-    SELECT w.start, ge.dst, w.hops + 1, list_append(w.path, ge.dst), list_append(w.types, ge.type)
-    FROM walk w JOIN ge ON ge.src = w.node WHERE w.hops < {hops})
-, best AS (SELECT start, node, min(hops) AS h FROM walk WHERE node IN ({ends}) GROUP BY start, node)
-, cand AS (SELECT w.* FROM walk w JOIN best b ON b.start = w.start AND b.node = w.node AND b.h = w.hops)
+def _d_one(steps: str, starts: str, ends: str, every: bool = True) -> str:
+    """CTE ``one``: shortest walks between starts and ends, relationship types kept; or the least of each pair."""
+    return _d_walk(steps, starts) + f"""
 , one AS (SELECT row_number() OVER () AS pid, start, node AS "end", path, types FROM (
-    SELECT *, row_number() OVER (PARTITION BY start, node ORDER BY path, types) AS rn FROM cand) c
+    SELECT *, row_number() OVER (PARTITION BY start, node ORDER BY path, types) AS rn FROM walk WHERE node IN ({ends})) c
     {'' if every else 'WHERE rn = 1'})
 """
 
 
-_PLACES = "SELECT DISTINCT dst AS id FROM edge WHERE type = 'IN' AND src LIKE 'c%'"
-_OUT = "SELECT src, dst, type FROM edge WHERE type IN ('IN', 'NEXT')"
-_BACK = "SELECT dst AS src, src AS dst, type FROM edge WHERE type IN ('IN', 'NEXT') AND src LIKE 'n%'"
-
-
 def _path_records(walks, n):
     p = RC.path_records(walks, n).select("start", "end", "path_value.*")
     return RC.canonical_record(p, ["type", "length", "nodes", "relationships"]).select("start", "end", "record")
 
 
-@register("graph_value_record_path", "I", _d_path_records(_d_walk(_OUT, _PLACES, "SELECT id FROM nlab WHERE label = 'Region'", 4, False)))
+@register("graph_value_record_path", "I", _d_path_records(_d_one(_OUT, _PLACES, _REGIONS, every=False)))
 def q_graph_value_record_path(spark, sf_dir):
     n, e = _g(spark, sf_dir)
-    w = GM.shortest_walks(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e, ["IN", "NEXT"], max_hops=4, every=False)
+    w = GM.shortest_walks(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e, ["IN", "NEXT"], max_hops=None, every=False)
     return _path_records(w, n)
 
 
-@register("graph_value_record_paths_all", "I", _d_path_records(_d_walk(_OUT, _PLACES, "SELECT id FROM nlab WHERE label = 'Place'", 3, True)))
+@register("graph_value_record_paths_all", "I", _d_path_records(_d_one(_OUT, _PLACES, "SELECT id FROM nlab WHERE label = 'Place'")))
 def q_graph_value_record_paths_all(spark, sf_dir):
     n, e = _g(spark, sf_dir)
-    w = GM.shortest_walks(_customer_places(e), GM.match_nodes(n, "Place").select("id"), e, ["IN", "NEXT"], max_hops=3)
+    w = GM.shortest_walks(_customer_places(e), GM.match_nodes(n, "Place").select("id"), e, ["IN", "NEXT"], max_hops=None)
     return _path_records(w, n)
 
 
-@register("graph_value_record_paths_in", "I", _d_path_records(_d_walk(
-    _BACK, "SELECT id FROM nlab WHERE label = 'Region'", _PLACES, 3, True)))
+@register("graph_value_record_paths_in", "I", _d_path_records(_d_one(_BACK, _REGIONS, _PLACES)))
 def q_graph_value_record_paths_in(spark, sf_dir):
     n, e = _g(spark, sf_dir)
     w = GM.shortest_walks(GM.match_nodes(n, "Region").select("id"), _customer_places(e), e.filter(F.col("src").startswith("n")),
-                          ["IN", "NEXT"], max_hops=3, direction="in")
+                          ["IN", "NEXT"], max_hops=None, direction="in")
     return _path_records(w, n)
 
 
-@register("graph_value_record_paths_both", "I", _d_path_records(_d_walk(
-    _OUT + " AND src LIKE 'n%' UNION ALL " + _BACK, _PLACES, "SELECT id FROM nlab WHERE label = 'Region'", 3, True)))
+@register("graph_value_record_paths_both", "I", _d_path_records(_d_one(_OUT + " UNION ALL " + _BACK, _PLACES, _REGIONS)))
 def q_graph_value_record_paths_both(spark, sf_dir):
     n, e = _g(spark, sf_dir)
     w = GM.shortest_walks(_customer_places(e), GM.match_nodes(n, "Region").select("id"), e.filter(F.col("src").startswith("n")),
-                          ["IN", "NEXT"], max_hops=3, direction="both")
+                          ["IN", "NEXT"], max_hops=None, direction="both")
     return _path_records(w, n)
