@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluation as OE
+from ..operators import loose_records as LR
 from ..operators import result_compare as RC
 from . import fixtures as X
 from .q_text import d_extract, d_jac, d_normalize, d_struct, d_think, d_tokens
@@ -72,6 +73,27 @@ def q_canonical_record(spark, sf_dir):
     return RC.canonical_record(e, ["vec_id", "label", "dims"]).select("vec_id", "record")
 
 
+# records of four shapes: keys, types and nesting differ from row to row
+@register("canonical_record_loose", "I", """
+WITH w AS (SELECT *, string_split(p_name, ' ') AS ws FROM part),
+q AS (SELECT *, '[' || array_to_string(list_transform(list_sort(ws), lambda x: '"' || x || '"'), ',') || ']' AS words FROM w)
+SELECT p_partkey, CASE p_partkey % 4
+  WHEN 0 THEN '{"name":"' || p_name || '","size":' || p_size || ',"tags":' || words || '}'
+  WHEN 1 THEN '{"name":' || words || ',"size":"' || p_size || '"}'
+  WHEN 2 THEN '{"x":{"a":{"l":[{"k":' || words || '},"m"],"n":null},"z":[' || array_to_string(list_sort([p_size, 30, 7]), ',') || ']}}'
+  ELSE '["' || p_brand || '",' || p_size || ',{"b":[2,1,[' || p_size || ',0]],"w":' || words || '}]' END AS record
+FROM q""")
+def q_canonical_loose(spark, sf_dir):
+    words = F.to_json(F.split("p_name", " "))
+    size, text = F.col("p_size").cast("string"), lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    shape = F.col("p_partkey") % 4
+    record = (F.when(shape == 0, text('{"tags":', words, ',"size":', size, ' , "name":"', F.col("p_name"), '"}'))
+              .when(shape == 1, text('{"size":"', size, '","name":', words, "}"))
+              .when(shape == 2, text('{"x":{"z":[', size, ',30,7],"a":{"n":null,"l":[{"k":', words, '},"m"]}}}'))
+              .otherwise(text('["', F.col("p_brand"), '",', size, ',{"w":', words, ',"b":[2,1,[', size, ",0]]}]")))
+    return LR.canonical_json(X.table(spark, sf_dir, "part").select("p_partkey", record.alias("raw")), "raw").select("p_partkey", "record")
+
+
 @register("compare_results", "I", _d_compare() + f"""
 SELECT case_id, strict_match, fuzzy_match, ground_truth_count, generated_count, common_records, missing_records,
        extra_records, {d6('score')} AS similarity_score FROM cmpf""")

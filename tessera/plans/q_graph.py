@@ -8,6 +8,7 @@ from ..functions import cleaning as FC
 from ..operators import graph_match as GM
 from ..operators import graph_profile as GP
 from ..operators import overlap as OV
+from ..operators import patterns as PT
 from ..operators import responses as ORS
 from ..operators import result_compare as RC
 from ..operators import runs as OR
@@ -438,6 +439,66 @@ def q_identical(spark, sf_dir):
     return GM.identical_targets(G.edges(spark, sf_dir), "SUPPLIED_BY")
 
 
+def _prop(key: str):
+    return F.try_element_at("props", F.lit(key))
+
+
+# ---------------------------------------------------------------- N: questions with several conditions
+# without a right of their own, but with control over something that has it
+@register("pattern_control", "N", G.DUCK_GRAPH + """
+SELECT DISTINCT p.src AS customer, s.dst AS supplier FROM edge p JOIN edge s ON s.src = p.dst AND s.type = 'SUPPLIED_BY'
+WHERE p.type = 'PLACED' AND p.src IN (SELECT id FROM nprop WHERE key = 'segment' AND value = 'MACHINERY')
+  AND s.dst IN (SELECT id FROM nprop WHERE id LIKE 's%' AND key = 'acctbal' AND CAST(value AS DOUBLE) > 9000)
+  AND p.src NOT IN (SELECT x.src FROM edge x JOIN edge y ON y.src = x.dst AND y.type = 'IN' AND y.dst = 'r1' WHERE x.type = 'IN')""")
+def q_pattern_control(spark, sf_dir):
+    n, e = _g(spark, sf_dir)
+    nodes = [PT.Node("customer", "Customer", _prop("segment") == "MACHINERY"), PT.Node("order", "Order"),
+             PT.Node("supplier", "Supplier", _prop("acctbal").cast("double") > 9000), PT.Node("nation", "Nation"),
+             PT.Node("region", "Region", F.col("id") == "r1")]
+    rels = [PT.Rel("customer", "order", "PLACED"), PT.Rel("order", "supplier", "SUPPLIED_BY"),
+            PT.Rel("customer", "nation", "IN", absent=True), PT.Rel("nation", "region", "IN")]
+    return PT.match_pattern(n, e, nodes, rels, ["supplier"])
+
+
+# a right in one place and none of another kind
+@register("pattern_persistence", "N", G.DUCK_GRAPH + """
+, big AS (SELECT e.src FROM edge e JOIN nprop ON nprop.id = e.dst AND key = 'size' AND TRY_CAST(value AS INT) >= 48 WHERE e.type = 'CONTAINS')
+, brand AS (SELECT e.src FROM edge e JOIN nprop ON nprop.id = e.dst AND key = 'brand' AND value = 'Brand#11' WHERE e.type = 'CONTAINS')
+SELECT 'o' || o_orderkey AS "order" FROM orders
+WHERE 'o' || o_orderkey IN (SELECT src FROM big) AND 'o' || o_orderkey NOT IN (SELECT src FROM brand)""")
+def q_pattern_persistence(spark, sf_dir):
+    n, e = _g(spark, sf_dir)
+    nodes = [PT.Node("order", "Order"), PT.Node("big", "Part", _prop("size").cast("int") >= 48),
+             PT.Node("brand", "Part", _prop("brand") == "Brand#11")]
+    return PT.match_pattern(n, e, nodes, [PT.Rel("order", "big", "CONTAINS"), PT.Rel("order", "brand", "CONTAINS", absent=True)])
+
+
+# one entity with two relationships of different kinds, both partners listed
+@register("pattern_two_branches", "N", G.DUCK_GRAPH + """
+SELECT DISTINCT c.src AS "order", c.dst AS part, s.dst AS supplier FROM edge c JOIN edge s ON s.src = c.src AND s.type = 'SUPPLIED_BY'
+WHERE c.type = 'CONTAINS' AND c.dst IN (SELECT id FROM nprop WHERE key = 'size' AND value = '7' AND id LIKE 'p%')
+  AND s.dst IN (SELECT src FROM edge WHERE type = 'IN' AND dst = 'n3' AND src LIKE 's%')""")
+def q_pattern_two_branches(spark, sf_dir):
+    n, e = _g(spark, sf_dir)
+    nodes = [PT.Node("order"), PT.Node("part", "Part", _prop("size") == "7"), PT.Node("supplier", "Supplier"),
+             PT.Node("nation", None, F.col("id") == "n3")]
+    rels = [PT.Rel("order", "part", "CONTAINS"), PT.Rel("order", "supplier", "SUPPLIED_BY"), PT.Rel("supplier", "nation", "IN")]
+    return PT.match_pattern(n, e, nodes, rels, ["part", "supplier"])
+
+
+# a property of the entity and a relationship into it
+@register("pattern_property_and_link", "N", G.DUCK_GRAPH + """
+SELECT DISTINCT o.dst AS "order", c.src AS customer FROM edge o JOIN edge c ON c.type = 'IN' AND c.src = o.src
+WHERE o.type = 'PLACED' AND c.dst IN (SELECT src FROM edge WHERE type = 'NEXT' AND dst = 'n5')
+  AND o.dst IN (SELECT id FROM nprop WHERE key = 'priority' AND value = '1-URGENT')""")
+def q_pattern_property(spark, sf_dir):
+    n, e = _g(spark, sf_dir)
+    nodes = [PT.Node("order", "Order", _prop("priority") == "1-URGENT"), PT.Node("customer", "Customer"), PT.Node("nation", "Nation"),
+             PT.Node("next", "Place", F.col("id") == "n5")]
+    rels = [PT.Rel("order", "customer", "PLACED", "in"), PT.Rel("customer", "nation", "IN"), PT.Rel("nation", "next", "NEXT")]
+    return PT.match_pattern(n, e, nodes, rels, ["customer"])
+
+
 _SHARED = G.DUCK_GRAPH + """
 , d AS (SELECT DISTINCT src AS node, dst AS target FROM edge WHERE type = 'SUPPLIED_BY')
 , s AS (SELECT node, COUNT(*) AS n, string_agg(target, ',' ORDER BY target) AS tset FROM d GROUP BY node)

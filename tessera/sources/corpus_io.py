@@ -1,10 +1,9 @@
 """Corpus readers (A1-A5).
 
 Large corpora are JSON Lines or parquet with one row per entry and an ``id`` column (the original
-index); Spark splits them across tasks. A single JSON array file is one text value (2 GB at most)
-and so one task; it is supported for the small hand-made files the reference uses, and
-``posexplode`` restores the original index. Text that is not JSON of the expected shape, and
-JSON Lines entries without an ``id``, stop the read with an error in every mode.
+index), or JSON array files of any size (``json_array``); Spark splits all of them across tasks.
+Text that is not JSON of the expected shape, and JSON Lines entries without an ``id``, stop the read
+with an error in every mode.
 
 Key presence is kept apart from null values by parsing each entry as ``map<string,string>``;
 a null value counts as missing (the reference would fail on it).
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import py_strip
+from .json_array import array_entries
 
 MODES = ("strict", "skip", "default_desc", "defaults")
 
@@ -46,12 +46,10 @@ def read_entries(spark: SparkSession, path: str, fmt: str = "auto") -> DataFrame
         lines = lines.filter(F.when(idx.isNull(), said).otherwise(F.lit(True)))
         rows = lines.select(idx.alias("id"), "m")
     else:
-        # one JSON array per file: one task per file
-        whole = spark.read.text(path, wholetext=True)
-        is_array = F.rlike(F.col("value"), F.lit(r"\A\s*\[")) & F.rlike(F.col("value"), F.lit(r"\]\s*\z"))
-        text = F.when(is_array, F.col("value")).otherwise(F.raise_error(F.lit("The corpus file is not a JSON array")).cast("string"))
-        arr = whole.select(F.from_json(text, "array<map<string,string>>", entry).alias("a"))
-        rows = arr.select(F.posexplode("a").alias("pos", "m")).select(F.col("pos").cast("long").alias("id"), "m")
+        # a blank entry (after a trailing comma) is no JSON object: from_json would make it null without an error
+        text = F.when(F.trim("entry", F.lit(" \t\r\n")) != "", F.col("entry")).otherwise(
+            F.raise_error(F.lit("The corpus file has an empty entry")).cast("string"))
+        rows = array_entries(spark, path).select("id", F.from_json(text, "map<string,string>", entry).alias("m"))
     return rows.select("id", *[_field(F.col("m"), c).alias(c) for c in ("description", "query", "source")])
 
 

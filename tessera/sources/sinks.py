@@ -1,5 +1,9 @@
 """Corpus and report writers (A6-A11). Every writer is a distributed ``DataFrameWriter`` call:
-no part is collected to the driver, and JSON output is JSON Lines (one object per line)."""
+no part is collected to the driver, and JSON output is JSON Lines (one object per line).
+
+Reports of several parts and corpora that replace themselves are versioned (``versions``): readers
+see all parts of the last whole version, or of none.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,8 @@ import os
 
 from pyspark.sql import DataFrame
 
+from . import versions as V
+
 
 def write_corpus(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> str:
     """Persist a (cleaned) corpus as parquet or JSON Lines."""
@@ -15,13 +21,13 @@ def write_corpus(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "er
 
 
 def write_report(parts: dict[str, DataFrame], directory: str, fmt: str = "json", mode: str = "errorifexists") -> dict:
-    """One dataset per report part (dataset info, issues, duplicates, statistics...)."""
-    out = {}
-    for name, df in parts.items():
-        p = os.path.join(directory, name)
-        df.write.mode(mode).format(fmt).save(p)
-        out[name] = p
-    return out
+    """One dataset per report part (dataset info, issues, duplicates, statistics...), as one version of ``directory``.
+
+    A failure between parts leaves the last whole version the one that readers see. Gives each
+    part's path; ``versions.read_part`` finds the last one's. With ``errorifexists`` a folder that
+    has a version is refused; ``append`` and ``overwrite`` add one (old ones stay until cleaned).
+    """
+    return V.write_version(parts, directory, fmt, mode).paths
 
 
 def write_failures(rows: DataFrame, header: DataFrame, directory: str, mode: str = "errorifexists",
@@ -38,11 +44,19 @@ def write_eval(cases: DataFrame, report: DataFrame, directory: str, mode: str =
 
 
 def write_dedup(df: DataFrame, source_path: str, path: str, fmt: str = "parquet") -> str:
-    """A10: write a deduplicated corpus to a new path. Writing over the path being read is
-    refused (Spark would truncate its own input); write elsewhere and swap afterwards."""
-    if os.path.abspath(source_path.rstrip("/")) == os.path.abspath(path.rstrip("/")):
-        raise ValueError("write_dedup needs a path other than the one being read")
-    return write_corpus(df, path, fmt)
+    """A10: write a deduplicated corpus. Over the path being read, that path has to be a versioned
+    folder: the rows become its next version while the version being read stays as it is. A plain
+    path is refused there (Spark would truncate its own input)."""
+    if os.path.abspath(source_path.rstrip("/")) != os.path.abspath(path.rstrip("/")):
+        return write_corpus(df, path, fmt)
+    if V.last_version(df.sparkSession, path) is None:
+        raise ValueError("write_dedup over the path being read needs a versioned folder (write_corpus_version)")
+    return write_corpus_version(df, path, fmt)
+
+
+def write_corpus_version(df: DataFrame, directory: str, fmt: str = "parquet") -> str:
+    """A corpus as the next version of ``directory``; ``versions.read_part(.., "corpus")`` reads the last one."""
+    return V.write_version({"corpus": df}, directory, fmt, "append").paths["corpus"]
 
 
 def publish(df: DataFrame, directory: str, split_col: str = "split", fmt: str = "parquet",
