@@ -111,6 +111,28 @@ def expand_var(starts: DataFrame, edges: DataFrame, types=None, *, min_hops: int
     return rows.select(start, F.col("node").alias("end"), F.col("hops").cast("long").alias("hops"))
 
 
+def reach_doubling(starts: DataFrame, edges: DataFrame, types=None, *, direction: str = "out", id_col: str = "id") -> DataFrame:
+    """N3 without bound, for deep graphs (nested membership, chains): distinct (start, end) by walks of one hop or more.
+
+    Path doubling: round i holds the pairs joined by a walk of just 2^i hops, and all ends within 2^i
+    hops of a start; joining the two covers 2^(i+1) hops. A round without a new end is the last one:
+    a farther end's shortest walk would pass one. So rounds grow with the logarithm of the depth, in
+    cycles too. Walk pairs are at most one per node and round in chains, rings and trees; in wide
+    graphs of many short cycles they approach all pairs, and ``expand_var`` is the better choice.
+    """
+    step = checkpointed(directed(edges, types, direction).select("node", "other").distinct())
+    first = starts.select(F.col(id_col).alias("start")).distinct()
+    found = checkpointed(first.join(step, F.col("start") == F.col("node")).select("start", F.col("other").alias("end")).distinct())
+    while True:
+        far = found.join(step, F.col("end") == F.col("node")).select("start", F.col("other").alias("end")).distinct()
+        new = checkpointed(far.join(found, ["start", "end"], "left_anti"))
+        if new.isEmpty():
+            return found
+        found = checkpointed(found.unionByName(new))
+        ahead = step.select(F.col("node").alias("other"), F.col("other").alias("end"))
+        step = checkpointed(step.join(ahead, "other").select("node", F.col("end").alias("other")).distinct())
+
+
 def _plain_steps(edges: DataFrame, types, direction: str) -> DataFrame:
     d = directed(edges, types, direction).select("node", "other").distinct()
     return checkpointed(d.withColumn("rel", F.lit(None).cast("string")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as FC
@@ -292,6 +293,25 @@ def q_expand_var_all(spark, sf_dir):
     return GM.expand_var(_customer_places(e), e, ["IN", "NEXT"], max_hops=None).select("start", "end")
 
 
+# Each customer's orders form a chain; the places form cycles: both from their first nodes, to any depth.
+@register("reach_doubling", "N", G.DUCK_GRAPH.replace("WITH ", "WITH RECURSIVE ", 1) + """
+, f AS (SELECT o_custkey, min(o_orderkey) AS first FROM orders GROUP BY o_custkey)
+, ge AS (SELECT DISTINCT src, dst FROM edge WHERE type = 'NEXT')
+, reach(start, node) AS (SELECT src, dst FROM ge WHERE src IN ('n0', 'n7') UNION SELECT r.start, ge.dst FROM reach r JOIN ge ON ge.src = r.node)
+SELECT 'o' || first AS start, 'o' || o_orderkey AS "end" FROM orders JOIN f USING (o_custkey) WHERE o_orderkey > first
+UNION ALL SELECT start, node FROM reach""")
+def q_reach_doubling(spark, sf_dir):
+    chain = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    name = lambda c: F.concat(F.lit("o"), c.cast("string"))
+    o = X.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.lead("o_orderkey").over(chain).alias("then"),
+                                                F.lag("o_orderkey").over(chain).isNull().alias("first"))
+    e = (o.filter("then IS NOT NULL").select(name(F.col("o_orderkey")).alias("src"), name(F.col("then")).alias("dst"), F.lit("THEN").alias("type"))
+         .unionByName(G.edges(spark, sf_dir).filter("type = 'NEXT'").select("src", "dst", "type")))
+    starts = o.filter("first").select(name(F.col("o_orderkey")).alias("id")).unionByName(
+        G.nodes(spark, sf_dir).filter(F.col("id").isin("n0", "n7")).select("id"))
+    return GM.reach_doubling(starts, e)
+
+
 # Least hops per (start, node) by a recursion over distinct rows, as long as there are nodes; then
 # only steps that come one hop nearer are walked, so no walk is listed that is not a shortest path.
 def _d_walk(steps: str, starts: str, distinct: bool = False) -> str:
