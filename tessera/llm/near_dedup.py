@@ -9,11 +9,10 @@ chance of 2e-5. Candidates are confirmed on the full shingle sets.
 Texts with equal shingle sets form one class (its least doc_id stands for it), so thousands of
 copies cost one candidate. In a bucket each class meets the bucket's first and last class. Classes
 of a bucket that are then still in another component than most of it are compared with the whole
-bucket, signature against signature, in blocks of about ``BLOCK`` by ``BLOCK`` rows. Members that
+bucket, in blocks of about ``BLOCK`` by ``BLOCK`` rows that hold signatures and texts: pairs that
 agree in ``MIN_AGREE`` of 200 coordinates (a pair at similarity 0.75 fails this with a chance of
-0.1 %, one at 0.8 with 1e-6) and whose sizes allow it are candidates; a class tries them in the
-order of agreement, in rounds, until it is linked or has tried all (``link_leftovers``). Links
-become components by distributed union-find.
+0.1 %, one at 0.8 with 1e-6) and whose sizes allow it are compared by their full shingle sets there,
+so only links leave a block. Links become components by distributed union-find.
 
 Null, empty and blank texts have no shingle and are linked with nothing; a text of fewer than
 five words is one shingle. Repeated (doc_id, text) rows give one row each; of different texts with one
@@ -25,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, mix32, mix64, shingle_sets, slices
@@ -33,7 +32,7 @@ from .groups import components, star_pairs
 
 SHINGLE, BANDS, ROWS = 5, 40, 5
 MIN_PERCENT = 75
-MIN_AGREE, BLOCK = 131, 1000
+MIN_AGREE, BLOCK, LONG = 131, 1000, 500
 
 
 def circulant_signature(points: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
@@ -108,95 +107,89 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(_compare, "a long, b long")
 
 
-def _blocks(quota: int):
-    """Rows sorted by (bucket, rc, mc, role): a block's queries (role 0) against its members -> (a, b, agree).
+def _blocks(batches):
+    """Rows sorted by (bucket, rc, mc, role): a block's queries (role 0) against its members -> links (a, b).
 
-    Each query gives its ``quota`` best-agreeing members of other components after the last one it
-    tried (``t_agree``, ``t_node``), in the order of falling agreement, then rising node.
+    Signatures and sizes choose the pairs, full shingle sets decide. Of two queries only the lesser one
+    asks, of all buckets that show a pair only the first band's; a pair that this block's links
+    have joined already is not compared.
     """
-    def block(t: pa.Table) -> list[np.ndarray]:
-        c = {x: t.column(x).to_numpy() for x in ("role", "node", "comp", "n", "t_agree", "t_node")}
+    def block(t: pa.Table) -> tuple[list, list]:
+        c = {x: t.column(x).to_numpy() for x in ("role", "node", "comp", "n", "rest")}
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(t.num_rows, BANDS * ROWS)
+        band, texts = t.column("band")[0].as_py(), t.column("text")
+        sets, joined, a, b = {}, {}, [], []
+
+        def of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_sets(texts.slice(i, 1), SHINGLE)[0]
+            return sets[i]
+
+        def root(x: int) -> int:
+            while x in joined:
+                x = joined[x]
+            return x
+
         m = np.flatnonzero(c["role"] == 1)
-        out = []
         for i in np.flatnonzero(c["role"] == 0):
             n, other = c["n"][i], m[c["comp"][m] != c["comp"][i]]
-            other = other[100 * np.minimum(n, c["n"][other]) >= MIN_PERCENT * np.maximum(n, c["n"][other])]
-            agree = (sig[other] == sig[i]).sum(axis=1)
-            later = (agree < c["t_agree"][i]) | ((agree == c["t_agree"][i]) & (c["node"][other] > c["t_node"][i]))
-            near = np.flatnonzero(later & (agree >= MIN_AGREE))
-            best = near[np.lexsort((c["node"][other[near]], -agree[near]))][:quota]
-            out.append((np.full(len(best), c["node"][i]), c["node"][other[best]], agree[best]))
-        return [np.concatenate(x).astype(np.int64) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
-
-    def run(batches):
-        held = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([held, t]) if held is not None else t
-            key = [t.column(c).to_numpy() for c in ("bucket", "rc", "mc")]
-            cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
-            at = np.concatenate([[0], cuts]).astype(int)
-            for x, y in zip(at[:-1], at[1:]):
-                yield pa.RecordBatch.from_arrays([pa.array(z) for z in block(t.slice(x, y - x))], ["a", "b", "agree"])
-            held = t.slice(at[-1])
-        if held is not None and held.num_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(z) for z in block(held)], ["a", "b", "agree"])
-
-    return run
-
-
-def leftover_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame, asked: DataFrame, quota: int) -> tuple[DataFrame, DataFrame]:
-    """(asking, candidates): classes outside a bucket's largest component, and their next ``quota`` candidates (a, b, agree, rank).
-
-    ``buckets(bucket, node, n)``; ``sigs(node, sig)``; ``labels(node, comp)`` of linked nodes;
-    ``asked(node, done, t_agree, t_node)``: classes asked before, and their last candidate.
+            ok = 100 * np.minimum(n, c["n"][other]) >= MIN_PERCENT * np.maximum(n, c["n"][other])
+            other = other[ok & (~c["rest"][other] | (c["node"][other] > c["node"][i]))]
+            same = sig[other] == sig[i]
+            agree = same.sum(axis=1)
+            near = np.flatnonzero((agree >= MIN_AGREE) & (same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band))
+            for j in other[near[np.argsort(-agree[near], kind="stable")]]:
+                x, y = root(int(c["comp"][i])), root(int(c["comp"][j]))
+                if x == y:
+                    continue
+                both = len(np.intersect1d(of(i), of(j), assume_unique=True))
+                if 100 * both >= MIN_PERCENT * (n + c["n"][j] - both):
+                    joined[max(x, y)] = min(x, y)
+                    a.append(min(c["node"][i], c["node"][j]))
+                    b.append(max(c["node"][i], c["node"][j]))
+        return a, b
+
+    def links(t: pa.Table) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in block(t)], ["a", "b"])
+
+    held = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([held, t]) if held is not None else t
+        key = [t.column(c).to_numpy() for c in ("bucket", "rc", "mc")]
+        cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+        at = np.concatenate([[0], cuts]).astype(int)
+        for x, y in zip(at[:-1], at[1:]):
+            yield links(t.slice(x, y - x))
+        held = t.slice(at[-1])
+    if held is not None and held.num_rows:
+        yield links(held)
+
+
+def leftover_links(buckets: DataFrame, sigs: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links (a, b) of a bucket whose ends are in different components: all that join components.
+
+    ``buckets(bucket, band, node, n)``; ``sigs(node, sig)``; ``texts(doc_id, text)``; ``labels(node, comp)``
+    of linked nodes. Classes outside a bucket's largest component meet the whole bucket in blocks
+    of ``BLOCK`` rows or of ``BLOCK * LONG`` shingles, so rows travel once a block, not once a pair.
     """
     held = (buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     sizes = held.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
     mixed = (sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.max("k").alias("top"), F.sum("k").alias("m"))
-             .filter("m > top").select("bucket", "main", "m"))
-    part = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "node"), F.ceil(F.col(count) / BLOCK))
-    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(count) / BLOCK) - 1))
-    held = held.join(mixed, "bucket").join(asked, "node", "left")
-    held = held.withColumn("rest", (F.col("comp") != F.col("main")) & ~F.coalesce("done", F.lit(False)))
-    # buckets in which a class still asks, and how many do
-    open_ = held.filter("rest").groupBy("bucket").agg(F.count("*").alias("r"))
-    held = cut(held.join(open_, "bucket").select(
-        "bucket", "node", "comp", "n", "rest", "m", "r", F.coalesce("t_agree", F.lit(1 << 20).cast("long")).alias("t_agree"),
-        F.coalesce("t_node", F.lit(0).cast("long")).alias("t_node")))
-    queries = held.filter("rest").withColumn("rc", part(1, "r")).withColumn("mc", every("m")).withColumn("role", F.lit(0))
-    members = held.withColumn("mc", part(2, "m")).withColumn("rc", every("r")).withColumn("role", F.lit(1))
-    rows = (queries.unionByName(members).join(sigs, "node")
+             .filter("m > top").select("bucket", "main"))
+    held = cut(held.join(mixed, "bucket").withColumn("rest", F.col("comp") != F.col("main")).drop("main"))
+    load = 1 + F.floor(F.col("n") / LONG)
+    blocks = lambda x: F.ceil(F.sum(x) / BLOCK)
+    dealt = held.groupBy("bucket").agg(blocks(load).alias("mb"), blocks(F.when(F.col("rest"), load)).alias("rb"))
+    held = held.join(dealt, "bucket")
+    part = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "node"), F.col(count))
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+    queries = held.filter("rest").withColumn("rc", part(1, "rb")).withColumn("mc", every("mb")).withColumn("role", F.lit(0))
+    members = held.withColumn("mc", part(2, "mb")).withColumn("rc", every("rb")).withColumn("role", F.lit(1))
+    rows = (queries.unionByName(members).join(sigs.join(texts.withColumnRenamed("doc_id", "node"), "node"), "node")
             .repartition("bucket", "rc", "mc").sortWithinPartitions("bucket", "rc", "mc", "role", "node")
-            .select("bucket", "rc", "mc", "role", "node", "comp", "n", "t_agree", "t_node", "sig"))
-    met = rows.mapInArrow(_blocks(quota), "a long, b long, agree long").distinct()
-    first = Window.partitionBy("a").orderBy(F.desc("agree"), "b")
-    return held.filter("rest").select("node").distinct(), met.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= quota)
-
-
-def link_leftovers(links: DataFrame, buckets: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``links`` and those found by asking on: all links that a bucket shows are then in the components.
-
-    A round confirms, for each class that is not of a bucket's largest component, only its best
-    candidates that were not tried yet, then labels the components anew; the quota grows fourfold a
-    round. Most classes join at their first candidate, so confirmed pairs grow with classes, not
-    with pairs. A class is done when it has fewer candidates left than its quota; the rounds end
-    when all classes outside the largest components are done, so no candidate is left out.
-    """
-    spark, quota = buckets.sparkSession, 1
-    asked = spark.createDataFrame([], "node long, done boolean, t_agree long, t_node long")
-    while True:
-        asking, met = leftover_pairs(buckets, sigs, components(links), asked, quota)
-        met = cut(met)
-        if met.isEmpty():
-            return links
-        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = cut(links.unionByName(confirm(pairs, texts)))
-        last = met.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("k"), F.min("agree").alias("t_agree"), F.max_by("b", "rank").alias("t_node"))
-        now = asking.join(last, "node", "left").select("node", (F.coalesce("k", F.lit(0)) < quota).alias("done"), "t_agree", "t_node")
-        asked = cut(asked.join(now, "node", "left_anti").unionByName(now))
-        quota *= 4
+            .select("bucket", "rc", "mc", "role", "band", "node", "comp", "n", "rest", "sig", "text"))
+    return rows.mapInArrow(_blocks, "a long, b long").distinct()
 
 
 def components_of(docs: DataFrame) -> DataFrame:
@@ -206,17 +199,18 @@ def components_of(docs: DataFrame) -> DataFrame:
     classes = cut(sketch.filter("n_shingles > 0").groupBy("f0", "f1", "n_shingles")
                   .agg(F.min("doc_id").alias("node"), F.count("*").alias("n_copies")))
     first = sketch.join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
-    every = first.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")).distinct()
+    every = first.select("node", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "bucket")).distinct()
     shared = (every.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
               .filter("lo < hi").select("bucket"))
-    buckets = cut(every.join(shared, "bucket").select("bucket", "node", "n"))
+    buckets = cut(every.join(shared, "bucket").select("bucket", "band", "node", "n"))
     near = cut(buckets.select("node").distinct())
     texts = cut(rows.join(near.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
                 .groupBy("doc_id").agg(F.max("text").alias("text")))
     stars = cut(star_pairs(buckets))
     links = cut(confirm(stars, texts))
     sigs = first.join(near, "node", "left_semi").select("node", "sig").dropDuplicates(["node"])
-    comp = components(link_leftovers(links, buckets, sigs, texts))
+    more = cut(leftover_links(buckets, sigs, texts, components(links)))
+    comp = components(links.unionByName(more))
     named = (classes.join(comp, "node", "left")
              .select("f0", "f1", "n_shingles", "n_copies", F.coalesce("comp", "node").alias("component_id")))
     return (sketch.select("doc_id", "f0", "f1", "n_shingles").join(named, ["f0", "f1", "n_shingles"], "left")
