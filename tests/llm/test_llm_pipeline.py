@@ -32,3 +32,12 @@ def test_one_of_each_group_stays(spark):
     a, b = prose(1, 200), prose(2, 200)
     docs = docs_of(spark, [(1, a, "en", "s"), (2, a + " tail", "en", "s"), (3, a, "en", "t"), (4, b, "en", "s"), (5, b, "en", "s")])
     assert sorted(r.doc_id for r in C.near(spark, docs, SF).collect()) == [1, 4]
+
+
+def test_run_chains_the_stages(spark):
+    """``run`` gives the last stage's rows, for documents that the stages before it left."""
+    out = C.run(spark, SF)
+    ids = {r.doc_id for r in table(spark, SF, "documents").select("doc_id").collect()}
+    rows = out.collect()
+    assert out.columns == ["doc_id", "source", "size", "source_size", "target", "taken"]
+    assert 0 < len(rows) < len(ids) and {r.doc_id for r in rows} <= ids and all(0 <= r.taken <= 2 * r.size for r in rows)
