@@ -199,9 +199,9 @@ def test_repeats(spark, odd):
     assert repeats.find(empty(odd)).count() == 0
 
 
-@pytest.mark.parametrize("size", [4, 2000])
-def test_repeats_hot_heads(spark, monkeypatch, size):
-    """A head in many texts, continued or begun alike in two of them only: the size of its group changes nothing."""
+@pytest.mark.parametrize("ranges", [3, 40])
+def test_repeats_hot_heads(spark, ranges):
+    """A head in many texts, continued or begun alike in two of them only, sorted into few or many ranges."""
     head, texts = prose(21, 44), []
     for p in range(20):
         left, right = prose(100 + p, 3), prose(200 + p, 3)
@@ -214,11 +214,30 @@ def test_repeats_hot_heads(spark, monkeypatch, size):
         tail = prose(600 + p, 7)
         texts += [f"{prose(700 + 2 * p + k, 30)} {head} {tail} {prose(800 + 2 * p + k, 20)}" for k in (0, 1)]
     want = repeated_words(texts)
-    monkeypatch.setattr(repeats, "GROUP", size)
-    got = defaultdict(set)
-    for r in repeats.find(docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect():
-        got[r.doc_id].update(range(r.begin_word, r.end_word))
-    assert got == want and 40 <= len(got) < len(texts)
+    assert repeat_spans(spark, texts, ranges) == want and 40 <= len(want) < len(texts)
+
+
+def repeat_spans(spark, texts, ranges=4):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    try:
+        got = defaultdict(set)
+        for r in repeats.find(docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect():
+            got[r.doc_id].update(range(r.begin_word, r.end_word))
+        return got
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_repeats_near_copies(spark):
+    """Copies with edits: few share a whole context, partners are often neighbours on neither side."""
+    r, base, texts = random.Random(8), prose(31, 240).split(), []
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.randrange(1, 7)):
+            w[r.randrange(len(w))] = r.choice(["one", "two", "three"])
+        texts.append(" ".join(w))
+    assert repeat_spans(spark, texts + texts[:20], 7) == repeated_words(texts + texts[:20])
 
 
 # ---------------------------------------------------------------- 5 language
