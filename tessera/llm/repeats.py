@@ -32,6 +32,7 @@ from .common import cut, grams, mix64, slices, word_hashes
 
 MIN_WORDS, GRAM, WINDOW = 50, 8, 32
 KEY, LEFT = MIN_WORDS - WINDOW + 1, WINDOW - 1
+RIGHT = MIN_WORDS - KEY  # words of the context after the key, which need not be carried
 PLACES_HELD = 20_000
 _TIMES = mix64(np.arange(1, LEFT + MIN_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -93,7 +94,7 @@ def _fixed(rows: np.ndarray) -> pa.Array:
 
 
 def _contexts(batches):
-    """(doc_id, text, places) -> key, ctx, words to the right and to the left as bytes."""
+    """(doc_id, text, places) -> key, ctx, words after the key and before the place as bytes."""
     for batch in batches:
         for part in slices(batch, "text"):
             hashes, starts = word_hashes(part.column("text"), lower=False)
@@ -109,7 +110,7 @@ def _contexts(batches):
                 words = _context(hashes, starts, at, texts[i:i + PLACES_HELD])
                 around = mix64((words * _TIMES).sum(axis=1, dtype=np.uint64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at].view(np.int64)), pa.array(around.view(np.int64)), _fixed(words[:, :MIN_WORDS]), _fixed(words[:, MIN_WORDS:])],
+                    [pa.array(keys[at].view(np.int64)), pa.array(around.view(np.int64)), _fixed(words[:, KEY:MIN_WORDS]), _fixed(words[:, MIN_WORDS:])],
                     ["key", "ctx", "right", "left"])
 
 
@@ -141,7 +142,7 @@ def _with_hub(batches):
     """Each class against the most frequent class of its key (hub_right, hub_left)."""
     for batch in batches:
         if batch.num_rows:
-            r = _agree(_words(batch.column("right"), MIN_WORDS), _words(batch.column("hub_right"), MIN_WORDS))
+            r = KEY + _agree(_words(batch.column("right"), RIGHT), _words(batch.column("hub_right"), RIGHT))
             l = _agree(_words(batch.column("left"), LEFT), _words(batch.column("hub_left"), LEFT))
             yield _marks(batch.column("key").to_numpy(), [batch.column("ctx").to_numpy()], r, l)
 
@@ -165,34 +166,43 @@ def _sorted_marks(wide: DataFrame, first: str, second: str) -> DataFrame:
             if last is None:
                 last = held.value.get(batch.column("part")[0].as_py())
             key, ctx = batch.column("key").to_numpy(), batch.column("ctx").to_numpy()
-            right, left = _words(batch.column("right"), MIN_WORDS), _words(batch.column("left"), LEFT)
+            right, left = _words(batch.column("right"), RIGHT), _words(batch.column("left"), LEFT)
             if last is not None:
                 key, ctx = np.concatenate([[last[0]], key]), np.concatenate([[last[3]], ctx])
                 right = np.concatenate([np.frombuffer(last[1], np.uint64)[None, :], right])
                 left = np.concatenate([np.frombuffer(last[2], np.uint64)[None, :], left])
             at = np.flatnonzero(key[1:] == key[:-1])
             if len(at):
-                yield _marks(key[at], [ctx[at], ctx[at + 1]], _agree(right[at], right[at + 1]), _agree(left[at], left[at + 1]))
+                yield _marks(key[at], [ctx[at], ctx[at + 1]], KEY + _agree(right[at], right[at + 1]), _agree(left[at], left[at + 1]))
             last = key[-1], right[-1].tobytes(), left[-1].tobytes(), ctx[-1]
 
     return rows.mapInArrow(run, MARKS)
 
 
 def _windows(batches):
-    """Windows from ``low`` to ``high`` words before the place -> key, ctx, back, window hash."""
+    """Windows that begin as many words before the place as ``asked`` has bits -> key, ctx, back, window
+    hash, and whether the class's own bits in ``open`` lack it."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        words = np.concatenate([_words(batch.column("left"), LEFT)[:, ::-1], _words(batch.column("right"), MIN_WORDS)], axis=1)
+        words = np.concatenate([_words(batch.column("left"), LEFT)[:, ::-1], _words(batch.column("right"), RIGHT)], axis=1)
         key, ctx = batch.column("key").to_numpy(), batch.column("ctx").to_numpy()
-        low, high = batch.column("low").to_numpy(), batch.column("high").to_numpy()
+        asked, lacks = batch.column("asked").to_numpy(), batch.column("open").to_numpy()
         for back in range(WINDOW):
-            at = np.flatnonzero((low <= back) & (back <= high))
+            at = np.flatnonzero(asked >> back & 1)
             if len(at):
-                window = (words[at, LEFT - back:LEFT - back + MIN_WORDS] * _TIMES[:MIN_WORDS]).sum(axis=1, dtype=np.uint64)
+                # the key's words lie between the two parts; its hash stands for them
+                window = (words[at, LEFT - back:LEFT - back + RIGHT] * _TIMES[:RIGHT]).sum(axis=1, dtype=np.uint64)
                 window = mix64(window + mix64(key[at].view(np.uint64) + np.uint64(back)))
-                yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(ctx[at]), pa.array(np.full(len(at), back, np.int32)), pa.array(window.view(np.int64))],
-                                                 ["key", "ctx", "back", "window"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[at]), pa.array(ctx[at]), pa.array(np.full(len(at), back, np.int32)), pa.array(window.view(np.int64)), pa.array(lacks[at] >> back & 1 == 1)],
+                    ["key", "ctx", "back", "window", "open"])
+
+
+def _bits(low, high):
+    """A long with the bits from ``low`` to ``high``, none where low is the greater or null."""
+    one = F.lit(1).cast("long")
+    return F.coalesce(F.when(low <= high, F.call_function("shiftleft", one, (high + 1).cast("int")) - F.call_function("shiftleft", one, low.cast("int"))), F.lit(0).cast("long"))
 
 
 def _merged(marks: DataFrame) -> DataFrame:
@@ -216,17 +226,17 @@ def _mixed(rows: DataFrame, classes: DataFrame) -> DataFrame:
     # copies of a class share its whole context
     own = classes.filter("n > 1").select("key", "ctx", "r", "l", (F.lit(MIN_WORDS) - F.col("r")).alias("near"), F.col("l").alias("far"))
     marks = cut(_merged(both.unionByName(own.filter("near <= far"))))
-    least = F.lit(MIN_WORDS) - F.col("r")
-    may = least <= F.col("l")
-    open_ = marks.filter(may & (F.col("near").isNull() | (least < F.col("near")) | (F.col("l") > F.col("far"))))
-    asked = (open_.groupBy("key").agg(F.min(F.when(F.col("near").isNull() | (least < F.col("near")), least).otherwise(F.col("far") + 1)).alias("from"),
-                                      F.max(F.when(F.col("far").isNull() | (F.col("l") > F.col("far")), F.col("l")).otherwise(F.col("near") - 1)).alias("to")))
-    tried = (marks.filter(may).join(asked, "key")
-             .select("key", "ctx", F.greatest(least, F.col("from")).alias("low"), F.least("l", "to").alias("high")).filter("low <= high"))
-    windows = cut(wide.join(tried, ["key", "ctx"]).select("key", "ctx", "right", "left", "low", "high")
-                  .mapInArrow(_windows, "key long, ctx long, back int, window long"))
-    twice = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
-    shown = windows.join(twice, "window").select("key", "ctx", F.lit(0).alias("r"), F.lit(0).alias("l"), F.col("back").alias("near"), F.col("back").alias("far"))
+    # bits of the windows that may be shared, and of those that no comparison has shown
+    may = _bits(F.lit(MIN_WORDS) - F.col("r"), F.col("l"))
+    bits = marks.select("key", "ctx", may.alias("may"), may.bitwiseAND(F.bitwise_not(_bits(F.col("near"), F.col("far")))).alias("open"))
+    wanted = bits.filter("open != 0").groupBy("key").agg(F.bit_or("open").alias("wanted"))
+    tried = bits.join(wanted, "key").select("key", "ctx", F.col("may").bitwiseAND(F.col("wanted")).alias("asked"), "open").filter("asked != 0")
+    windows = cut(wide.join(tried, ["key", "ctx"]).select("key", "ctx", "right", "left", "asked", "open")
+                  .mapInArrow(_windows, "key long, ctx long, back int, window long, open boolean"))
+    # only classes that lack a window ask for it, so a window that many share is not joined back to all
+    twice = windows.groupBy("window").agg(F.count("*").alias("n"), F.max("open").alias("open")).filter("n > 1 AND open").select("window")
+    shown = (windows.filter("open").join(twice, "window")
+             .select("key", "ctx", F.lit(0).alias("r"), F.lit(0).alias("l"), F.col("back").alias("near"), F.col("back").alias("far")))
     return _merged(marks.unionByName(shown))
 
 
@@ -241,7 +251,8 @@ def find(docs: DataFrame) -> DataFrame:
     whole = classes.filter((F.col("n") > 1) & (F.col("r") + F.col("l") >= MIN_WORDS)).select(
         "key", "ctx", (F.lit(MIN_WORDS) - F.col("r")).alias("near"), F.col("l").alias("far"))
     shared = _mixed(rows, classes).filter("near IS NOT NULL").select("key", "ctx", "near", "far")
-    spans = (whole.unionByName(shared).groupBy("key", "ctx").agg(F.min("near").alias("near"), F.max("far").alias("far")))
+    # cut, so that the join's sides are plain shuffles and a class of many members can be split
+    spans = cut(whole.unionByName(shared).groupBy("key", "ctx").agg(F.min("near").alias("near"), F.max("far").alias("far")))
     spans = (members.join(spans, ["key", "ctx"])
              .select("doc_id", (F.col("pos") - F.col("far")).cast("long").alias("begin_word"),
                      (F.col("pos") - F.col("near") + MIN_WORDS).cast("long").alias("end_word")).distinct())
