@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import duckdb
@@ -434,3 +435,55 @@ def test_secrets(spark, odd):
     none = {x.doc_id: x for x in secrets.scan(odd).collect()}
     assert all(none[k].spans == "" for k in (1, 2, 3, 4, 9)) and none[1].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert secrets.scan(odd).count() == odd.count() and secrets.scan(empty(odd)).count() == 0
+
+
+def brute_base(text):
+    """The base kinds one match at a time, as they are stated."""
+    found = []
+    for k, (kind, pattern) in enumerate((("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+                                         ("access", r"AKIA[A-Z0-9]+"), ("hex", r"[0-9a-f]+"))):
+        at = 0
+        while m := re.compile(pattern, re.I | re.A if kind == "assign" else 0).search(text, at):
+            if len(m[2] if kind == "assign" else m[0]) >= {"assign": 12, "access": 18, "hex": 16}[kind]:
+                found.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}"))
+            at = m.end()
+    return [s for *_, s in sorted(found)]
+
+
+def test_secrets_base_random(spark):
+    r, rows = random.Random(17), []
+    parts = ["password", "Passwd", "secret", "token", "api_key", "APIKEY", "\"", "'", " ", ":", "=", "abcdef0123", "AKIA", "AKIAXYZ12345678", "é", "日本", "K", "-", "9f" * 8, "0a1b2c3d", "\n"]
+    for i in range(400):
+        rows.append((i, "".join(r.choice(parts) for _ in range(r.randrange(1, 40))), "en", "a"))
+    got = {x.doc_id: x for x in secrets.scan(docs_of(spark, rows)).collect()}
+    for i, t, *_ in rows:
+        base = brute_base(t)
+        assert [s for s in got[i].spans.split(",") if s and not s.startswith("random")] == base
+        assert got[i].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(s.startswith(k) for s in base) for k in ("assign", "access", "hex"))
+
+
+def test_random_strings_beside_words():
+    enc, r = secrets.encoding(secrets.ranks(secrets.VOCABULARY)), random.Random(2)
+    for letters in ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        for size in (20, 32):
+            for before in ("", "org/articles/development/configuration/", "my_config-name_", "0123456789abcdef0123/"):
+                hit = exact = 0
+                for _ in range(100):
+                    t = "".join(r.choice(letters) for _ in range(size))
+                    text = f"see {before}{t} here"
+                    more = secrets.find(text, enc)[1]
+                    hit += any(s <= text.index(t) + 3 and e >= text.index(t) + size - 3 for s, _, e in more)
+                    exact += any((s, e) == (text.index(t), text.index(t) + size) for s, _, e in more)
+                assert hit >= 95 and exact >= 80, (len(letters), size, before, hit, exact)
+    for text in ("https://www.example.org/articles/2024/11/05/the-quick-brown-fox", "internationalization_configuration_management",
+                 "550E8400-E29B-41D4-A716-446655440000", "x86_64-linux-gnu/libstdc++-v3", "2024-05-06T12-30-00Z", "D41D8CD98F00B204E9800998ECF8427E"):
+        assert secrets.find(text, enc)[1] == [], text
+
+
+def test_many_digests_in_one_text():
+    enc = secrets.encoding(secrets.ranks(secrets.VOCABULARY))
+    text = " ".join(hashlib.md5(b"%d" % i).hexdigest() for i in range(100_000))
+    begin = time.time()
+    base, more = secrets.find(text, enc)
+    assert len(base) == 100_000 and not more and time.time() - begin < 20
