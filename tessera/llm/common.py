@@ -119,9 +119,10 @@ def word_hashes(texts: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(begin, at)
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20):
-    """A batch in slices of about ``max_bytes`` of one text column, so that work arrays stay small."""
-    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20, row_bytes: int = 0):
+    """A batch in slices of about ``max_bytes`` of one text column, each row counted as ``row_bytes``
+    more, so that work arrays stay small."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + row_bytes
     part = np.concatenate([[0], np.cumsum(size)[:-1]]) // max_bytes if len(size) else size
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]]).astype(int)
     for a, b in zip(cuts[:-1], cuts[1:]):

@@ -27,24 +27,29 @@ from pyspark.sql import functions as F
 from .common import raw_bytes, slices
 
 DIM, SAMPLE_ROWS, EPOCHS, COST = 4096, 1600, 12, 4.0
+ROW_BYTES, PIECE = 8192, 1 << 20  # rows of a slice count so many bytes more; bytes of a text counted at once
 _FOLD = np.array([b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)], np.uint32)
 
 
 def features(texts: pa.Array) -> np.ndarray:
-    """One row of DIM values per text."""
+    """One row of DIM values per text, counted in pieces of ``PIECE`` bytes."""
     data, at = raw_bytes(pc.utf8_lower(texts))
     n = len(at) - 1
-    x = _FOLD[data]
-    doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(at))
     out = np.zeros(n * DIM)
-    code = np.zeros(len(x), np.uint32)
-    for k in range(3):
-        if len(x) <= k:
-            break
-        code = code[:len(x) - k] * np.uint32(256) + x[k:]
-        place = (code * np.uint32(0x9E3779B1) + np.uint32(k * 0x45D9F3B)) >> np.uint32(20)
-        same = doc[:len(x) - k] == doc[k:] if k else slice(None)
-        out += np.bincount(doc[:len(x) - k][same] * DIM + place[same].astype(np.int64), minlength=n * DIM)
+    for begin in range(0, len(data), PIECE):
+        x = _FOLD[data[begin:begin + PIECE + 2]]  # grams that begin in the piece may end beyond it
+        doc = np.searchsorted(at, np.arange(begin, begin + len(x)), side="right") - 1
+        low = int(doc[0])
+        code = np.zeros(len(x), np.uint32)
+        for k in range(3):
+            if len(x) <= k:
+                break
+            code = code[:len(x) - k] * np.uint32(256) + x[k:]
+            place = (code * np.uint32(0x9E3779B1) + np.uint32(k * 0x45D9F3B)) >> np.uint32(20)
+            own = min(PIECE, len(x) - k)
+            same = doc[:own] == doc[k:k + own]
+            more = np.bincount((doc[:own][same] - low) * DIM + place[:own][same].astype(np.int64))
+            out[low * DIM:low * DIM + len(more)] += more
     out = np.sqrt(out.reshape(n, DIM))
     size = np.sqrt((out ** 2).sum(axis=1, keepdims=True))
     return (out / np.where(size > 0, size, 1)).astype(np.float32)
@@ -144,7 +149,7 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict | None:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", row_bytes=ROW_BYTES):
                 x = features(part.column("text"))
                 flat = pa.Array.from_buffers(pa.binary(DIM * 4), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), flat.cast(pa.binary())], ["doc_id", "lang", "x"])
@@ -167,7 +172,7 @@ def identify(docs: DataFrame) -> DataFrame:
     def run(batches):
         m = held.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", row_bytes=ROW_BYTES):
                 letters = part.column("letters").to_numpy(zero_copy_only=False).astype(bool)
                 lang, score = np.full(part.num_rows, "und", object), np.zeros(part.num_rows)
                 if m is not None and letters.any():
