@@ -34,6 +34,9 @@ MIN_WORDS, GRAM, WINDOW = 50, 8, 32
 KEY, LEFT = MIN_WORDS - WINDOW + 1, WINDOW - 1
 RIGHT = MIN_WORDS - KEY  # words of the context after the key, which need not be carried
 PLACES_HELD = 20_000
+# windows by how many words before the place they begin: those of one part share its least number of words
+# to the left and RIGHT less its greatest to the right (0 and LEFT are always found by sorting)
+PARTS = ((1, 7), (8, 15), (16, 23), (24, LEFT - 1))
 _TIMES = mix64(np.arange(1, LEFT + MIN_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -94,7 +97,8 @@ def _fixed(rows: np.ndarray) -> pa.Array:
 
 
 def _contexts(batches):
-    """(doc_id, text, places) -> key, ctx, words after the key and before the place as bytes."""
+    """(doc_id, text, places) -> key, ctx, words after the key and before the place as bytes, and a hash
+    of the words that equal windows of each part share."""
     for batch in batches:
         for part in slices(batch, "text"):
             hashes, starts = word_hashes(part.column("text"), lower=False)
@@ -109,9 +113,14 @@ def _contexts(batches):
                 at = every[i:i + PLACES_HELD]
                 words = _context(hashes, starts, at, texts[i:i + PLACES_HELD])
                 around = mix64((words * _TIMES).sum(axis=1, dtype=np.uint64))
+                shared = []
+                for n, (low, high) in enumerate(PARTS):
+                    columns = np.r_[KEY:KEY + RIGHT - high, MIN_WORDS:MIN_WORDS + low]
+                    shared.append(mix64((words[:, columns] * _TIMES[columns]).sum(axis=1, dtype=np.uint64) + mix64(keys[at] + np.uint64(n))))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at].view(np.int64)), pa.array(around.view(np.int64)), _fixed(words[:, KEY:MIN_WORDS]), _fixed(words[:, MIN_WORDS:])],
-                    ["key", "ctx", "right", "left"])
+                    [pa.array(keys[at].view(np.int64)), pa.array(around.view(np.int64)), _fixed(words[:, KEY:MIN_WORDS]), _fixed(words[:, MIN_WORDS:]),
+                     *(pa.array(x.view(np.int64)) for x in shared)],
+                    ["key", "ctx", "right", "left", *(f"part{n}" for n in range(len(PARTS)))])
 
 
 def _words(column, width: int) -> np.ndarray:
@@ -214,7 +223,7 @@ def _mixed(rows: DataFrame, classes: DataFrame) -> DataFrame:
     several = classes.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     classes = cut(classes.join(several, "key"))
     places = classes.groupBy(F.col("rep.doc_id").alias("doc_id")).agg(F.sort_array(F.collect_set("rep.pos")).alias("places"))
-    wide = (rows.join(places, "doc_id").mapInArrow(_contexts, "key long, ctx long, right binary, left binary")
+    wide = (rows.join(places, "doc_id").mapInArrow(_contexts, "key long, ctx long, right binary, left binary, part0 long, part1 long, part2 long, part3 long")
             .dropDuplicates(["key", "ctx"]).join(classes.select("key", "ctx", "n"), ["key", "ctx"]))
     wide = cut(wide)
     # the hub's place in the order of classes is fixed by its count and hash, so reruns agree
@@ -230,7 +239,16 @@ def _mixed(rows: DataFrame, classes: DataFrame) -> DataFrame:
     may = _bits(F.lit(MIN_WORDS) - F.col("r"), F.col("l"))
     bits = marks.select("key", "ctx", may.alias("may"), may.bitwiseAND(F.bitwise_not(_bits(F.col("near"), F.col("far")))).alias("open"))
     wanted = bits.filter("open != 0").groupBy("key").agg(F.bit_or("open").alias("wanted"))
-    tried = bits.join(wanted, "key").select("key", "ctx", F.col("may").bitwiseAND(F.col("wanted")).alias("asked"), "open").filter("asked != 0")
+    bits = bits.join(wanted, "key").filter("may & wanted != 0").drop("wanted")
+    bits = cut(bits.join(wide.select("key", "ctx", *(f"part{n}" for n in range(len(PARTS)))), ["key", "ctx"]))
+    tried = None
+    for n, (low, high) in enumerate(PARTS):  # partners of a lacking window share its part's words
+        part, mask = f"part{n}", F.lit((1 << high + 1) - (1 << low)).cast("long")
+        lacks = F.col("open").bitwiseAND(mask)
+        ask = bits.filter(lacks != 0).groupBy(part).agg(F.bit_or(lacks).alias("wanted"))
+        one = bits.join(ask, part).select("key", "ctx", F.col("may").bitwiseAND(F.col("wanted")).alias("asked"), "open").filter("asked != 0")
+        tried = one if tried is None else tried.unionByName(one)
+    tried = tried.groupBy("key", "ctx").agg(F.bit_or("asked").alias("asked"), F.max("open").alias("open"))
     windows = cut(wide.join(tried, ["key", "ctx"]).select("key", "ctx", "right", "left", "asked", "open")
                   .mapInArrow(_windows, "key long, ctx long, back int, window long, open boolean"))
     # only classes that lack a window ask for it, so a window that many share is not joined back to all
