@@ -276,6 +276,36 @@ def test_model_is_a_distribution(spark):
     assert np.allclose(p, 1, atol=1e-3)
 
 
+def test_every_character_has_its_own_spelling(spark):
+    """Characters beyond the 63 most frequent ones are told apart, and counts are those of the spelled texts."""
+    common = [chr(0x100 + i) for i in range(70)]
+    r = random.Random(3)
+    texts = ["".join(common) * 3 + "".join(r.choice("日本語\U00020bb7") for _ in range(40)) for _ in range(12)]
+    model = quality_lm.train(docs_of(spark, [(i, t, "ja", "a") for i, t in enumerate(texts)]))
+    assert np.allclose(np.exp(quality_lm.log_prob(model)).reshape(-1, quality_lm.SYMBOLS).sum(axis=1), 1, atol=1e-3)
+    place = {c: i + 1 for i, c in enumerate(model["symbols"])}
+    spelled = lambda t: [x for c in map(ord, t) for x in ([place[c]] if c in place else [0, c >> 18, c >> 12 & 63, c >> 6 & 63, c & 63])]
+    seen = {sum(v * 64 ** (3 - k) for k, v in enumerate(s[i - 3:i + 1])) for t in texts
+            for s in [spelled("\n\n\n" + t)] for i in range(len(spelled("\n\n\n")), len(s))}
+    assert set(model[4][0].tolist()) == seen
+    lp, odd = quality_lm.log_prob(model), [texts[0], "日本語" * 9, "月木話" * 9, "\U00100000\n", "", None]
+    got = {x.doc_id: (x["__nats"], x["__chars"]) for x in quality_lm.scores(docs_of(spark, [(i, t, "ja", "a") for i, t in enumerate(odd)]), model).collect()}
+    for i, t in enumerate(odd):
+        s, first = spelled("\n\n\n" + (t or "")), len(spelled("\n\n\n"))
+        want = -sum(float(lp[sum(v * 64 ** (3 - k) for k, v in enumerate(s[j - 3:j + 1]))]) for j in range(first, len(s)))
+        assert got[i][1] == len(t or "") and abs(got[i][0] - want) < 1e-3 * max(want, 1)
+    assert got[1][0] < 0.8 * got[2][0]
+
+
+def test_every_language_has_its_own_limit(spark, monkeypatch):
+    docs = docs_of(spark, [(i, prose(i, 20) if i % 2 else prose(i, 20).upper(), "en" if i % 2 else "de", "a") for i in range(600)])
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    rows = lambda: {r.doc_id: (r.kept, round(r.score, 9), round(r.limit, 9)) for r in quality_lm.judge(docs, labels).collect()}
+    want = rows()
+    monkeypatch.setattr(quality_lm, "MAX_LANGUAGES", 1)
+    assert rows() == want and len({v[2] for v in want.values()}) == 2
+
+
 # ---------------------------------------------------------------- 7 decontamination
 def test_decontaminate(spark, odd):
     r = random.Random(5)
