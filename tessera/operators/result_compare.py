@@ -76,18 +76,18 @@ def canonical_record(df: DataFrame, cols: list[str] | None = None, name: str = "
 
 # ---------------------------------------------------------------- I3/I4 comparison
 def _per_record(records: DataFrame) -> DataFrame:
+    """One row per case and record; the hash is moved as 16 bytes and sides are told by their counts."""
     is_t = F.col("side") == TRUTH
     is_g = F.col("side") == GENERATED
     return (
-        records.withColumn("rh", F.md5(F.col("record")))
+        records.withColumn("rh", F.unhex(F.md5(F.col("record"))))
         .groupBy("case_id", "rh")
         .agg(
-            F.max(is_t).alias("in_t"),
-            F.max(is_g).alias("in_g"),
             F.count_if(is_t).alias("n_t"),
             F.count_if(is_g).alias("n_g"),
             F.min("record").alias("record"),
         )
+        .withColumns({"in_t": F.col("n_t") > 0, "in_g": F.col("n_g") > 0})
     )
 
 

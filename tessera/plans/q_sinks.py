@@ -102,7 +102,7 @@ SELECT CAST(test_case_number AS BIGINT) AS test_case_number, case_id, descriptio
   CAST((SELECT total_test_cases FROM rep) AS BIGINT) AS total_test_cases, 'fixture-model' AS llm_model FROM ev2""")
 def q_write_eval(spark, sf_dir):
     cases = _eval_cases(spark, sf_dir)
-    report = OE.with_run(OE.eval_report(cases), RUN_AT, "local", "fixture-model")
+    report = lambda written: OE.with_run(OE.eval_report(written), RUN_AT, "local", "fixture-model")
     parts = SK.write_eval(cases, report, _out(spark, "eval"))
     back = spark.read.json(parts["cases"])
     run = spark.read.json(parts["report"]).select("total_test_cases", "llm_model")

@@ -8,6 +8,7 @@ see all parts of the last whole version, or of none.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
@@ -38,9 +39,12 @@ def write_failures(rows: DataFrame, header: DataFrame, directory: str, mode: str
     return write_report(parts, directory, "json", mode)
 
 
-def write_eval(cases: DataFrame, report: DataFrame, directory: str, mode: str = "errorifexists") -> dict:
-    """The full nested evaluation: cases (structs and lists kept) and the report row."""
-    return write_report({"cases": cases, "report": report}, directory, "json", mode)
+def write_eval(cases: DataFrame, report: DataFrame | Callable[[DataFrame], DataFrame], directory: str, mode: str = "errorifexists") -> dict:
+    """The full nested evaluation: cases (structs and lists kept) and the report row.
+
+    ``report`` may be a function of the cases; it gets them as written, so they are evaluated once."""
+    later = (lambda written: report(written["cases"])) if callable(report) else report
+    return write_report({"cases": cases, "report": later}, directory, "json", mode)
 
 
 def write_dedup(df: DataFrame, source_path: str, path: str, fmt: str = "parquet") -> str:

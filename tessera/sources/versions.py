@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -46,8 +47,13 @@ def last_version(spark: SparkSession, directory: str) -> Version | None:
     return found[-1] if found else None
 
 
-def write_version(parts: dict[str, DataFrame], directory: str, fmt: str = "json", mode: str = "append") -> Version:
-    """Write all parts, then the manifest row that makes them the last version."""
+def write_version(parts: dict[str, DataFrame | Callable[[dict[str, DataFrame]], DataFrame]], directory: str, fmt: str = "json",
+                  mode: str = "append") -> Version:
+    """Write all parts, then the manifest row that makes them the last version.
+
+    A part may be a function of the parts written before it, read back from where they were
+    written, so that what they cost is not spent again. The first part is a DataFrame.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if not parts:
@@ -58,8 +64,12 @@ def write_version(parts: dict[str, DataFrame], directory: str, fmt: str = "json"
         raise ValueError(f"{directory} holds version {last.number} already")
     number, name = (last.number + 1 if last else 1), uuid.uuid4().hex
     paths = {p: os.path.join(directory, "data", name, p) for p in parts}
+    written, wanted = {}, any(callable(df) for df in parts.values())
     for p, df in parts.items():
+        df = df(written) if callable(df) else df
         df.write.format(fmt).save(paths[p])
+        if wanted:
+            written[p] = spark.read.schema(df.schema).format(fmt).load(paths[p])
     row = spark.range(1).select(F.lit(name).alias("name"), F.lit(fmt).alias("format"),
                                 F.create_map(*[F.lit(x) for kv in paths.items() for x in kv]).alias("paths"))
     row.write.mode("errorifexists").json(os.path.join(directory, "manifest", f"version={number}"))

@@ -74,6 +74,23 @@ def test_report_versions(spark, tmp_path):
         V.read_part(spark, d, "c")
 
 
+def test_report_of_written_cases(spark, tmp_path):
+    """A report that is a function of the cases reads them as written: they are computed once."""
+    runs = spark.sparkContext.accumulator(0)
+    def count(batches):
+        for b in batches:
+            runs.add(len(b))
+            yield b
+    cases = spark.createDataFrame([(i, i / 7 if i % 3 else None, ["a\n\"", None]) for i in range(20)], "id long, x double, e array<string>")
+    want = [tuple(r) for r in cases.collect()]
+    cases = cases.mapInPandas(count, cases.schema)
+    paths = SK.write_eval(cases, lambda c: c.agg(F.count("x").alias("n"), F.sum("x").alias("x")), str(tmp_path / "e"))
+    assert runs.value == 20
+    assert sorted(tuple(r) for r in spark.read.schema(cases.schema).json(paths["cases"]).collect()) == want
+    report = V.read_part(spark, str(tmp_path / "e"), "report").first()
+    assert report.n == 13 and abs(report.x - sum(x for _, x, _ in want if x is not None)) < 1e-9
+
+
 def test_dedup_in_place(spark, tmp_path):
     d = str(tmp_path / "corpus")
     df = spark.createDataFrame([(1, "a  b"), (2, "a b"), (3, "c")], "id long, query string")
