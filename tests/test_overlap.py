@@ -60,6 +60,30 @@ def test_hub_of_a_third_of_the_edges(spark, monkeypatch):
     assert got == want and members.filter("class = 'h0'").count() == 2
 
 
+@pytest.mark.parametrize("wide,percent", [(0, 50), (1, 60), (6, 40), (20, 60), (24, 100)])
+def test_wide_sets_are_not_collected(spark, monkeypatch, wide, percent):
+    """Sets above WIDE go by rows, smaller ones in one row; pairs across that border are found too."""
+    monkeypatch.setattr(OV, "WIDE", wide)
+    r = random.Random(wide)
+    edges = [(f"e{i}", f"t{min(r.randrange(30), r.randrange(30))}") for i in range(60) for _ in range(r.choice([1, 2, 4, 9, 30]))]
+    base = [f"u{k}" for k in range(25)]
+    edges += [(f"n{i}", t) for i in range(30) for t in base if i > 25 or r.random() > 0.15]
+    edges += [("r0", "t1"), ("r0", "t2")] * 40 + [("r1", "t1"), ("r1", "t2"), ("r1", "t3")] + [(None, "t1"), ("r1", None)] * 50
+    assert _joined(spark, edges, percent) == _all_pairs(edges, percent)
+
+
+def test_probes_grow_with_the_edges(spark, monkeypatch):
+    """A small set is looked up only under the sizes and targets that a partner of that size can share first."""
+    seen = []
+    dealt = OV._dealt
+    monkeypatch.setattr(OV, "_dealt", lambda p, i: (seen.append((p.count(), i.count())), dealt(p, i))[1])
+    edges = [(f"e{i}", f"t{i % 50}_{k}") for i in range(400) for k in range(1 + i % 7)]
+    pairs, _ = _joined(spark, edges, 60)
+    assert pairs == _all_pairs(edges, 60)[0]
+    classes = len({frozenset(t for e, t in edges if e == f"e{i}") for i in range(400)})
+    assert max(seen[0]) <= 5 * classes
+
+
 def test_no_edges(spark):
     assert _joined(spark, [], 60) == (set(), set())
 
