@@ -404,6 +404,17 @@ def test_lines_hot_bucket(spark):
     assert len(set(of.values())) == len(set(want.values())) >= 200
 
 
+def test_lines_confirmed_once(spark):
+    """The shared shingles of a pair are computed once: the plan of the check names the intersection one time."""
+    lines = line_dedup._lines(docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(near_lines(5, 4))]))
+    nodes = line_dedup._nodes(lines).checkpoint()
+    k = [r.k1 for r in nodes.select("k1").collect()]
+    pairs = spark.createDataFrame([(min(x, y), max(x, y)) for x in k for y in k if x < y], "a long, b long")
+    links = line_dedup._confirm(pairs, lines, nodes)
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("array_intersect") == 1
+    assert links.count() >= 4
+
+
 def test_lines_whole_shingles(spark):
     """Against all 5-character shingles of whole lines: URLs, long strings and scripts without spaces too."""
     r = random.Random(9)
