@@ -415,6 +415,15 @@ def test_lines_confirmed_once(spark):
     assert links.count() >= 4
 
 
+def test_lines_signature_moves_lines_once(spark):
+    """Signatures are taken where the grouped lines lie: the lines are exchanged, the 56 minima are not."""
+    lines = line_dedup._lines(docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(near_lines(7, 3) + ["tiny", "long " * 40])]))
+    nodes = line_dedup._nodes(lines)
+    plan = nodes._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in row for row in plan.split("\n")) == 1
+    assert nodes.count() == 8
+
+
 def test_lines_whole_shingles(spark):
     """Against all 5-character shingles of whole lines: URLs, long strings and scripts without spaces too."""
     r = random.Random(9)
