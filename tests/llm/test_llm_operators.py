@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 from collections import defaultdict
 
 import duckdb
@@ -276,6 +277,28 @@ def test_model_is_a_distribution(spark):
     assert np.allclose(p, 1, atol=1e-3)
 
 
+def test_model_table_is_made_in_place():
+    """Every task makes the table of 64^4 values: no second one of that size beside it, and the values of the plain form."""
+    r, model = np.random.default_rng(2), {}
+    for k in range(1, 5):
+        g = np.unique(r.integers(0, 64 ** k, min(64 ** k, 5000)))
+        h = np.unique(g // 64)
+        model[k] = (g, r.random(len(g), np.float32), h, r.random(len(h), np.float32))
+    tracemalloc.start()
+    try:
+        lp = quality_lm.log_prob(model)
+        assert tracemalloc.get_traced_memory()[1] < 1.5 * lp.nbytes
+    finally:
+        tracemalloc.stop()
+    for i in [*model[4][0][:50].tolist(), 0, 64 ** 4 - 1, 12345]:
+        p = 1 / 64
+        for k in range(1, 5):
+            g, a, h, w = (x.tolist() for x in model[k])
+            own, context = i % 64 ** k, i % 64 ** k // 64
+            p = (w[h.index(context)] if context in h else 1) * p + (a[g.index(own)] if own in g else 0)
+        assert abs(lp[i] - np.log(p)) < 1e-4
+
+
 def test_every_character_has_its_own_spelling(spark):
     """Characters beyond the 63 most frequent ones are told apart, and counts are those of the spelled texts."""
     common = [chr(0x100 + i) for i in range(70)]
