@@ -1,6 +1,7 @@
 """Each operator against a plain version, on edge cases and on the driver's small tables."""
 
 import base64
+import glob
 import hashlib
 import random
 import re
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import (decontaminate, groups, html_wrapper, lang_id, line_dedup, mixing, near_dedup, quality_lm,
                          quality_rules, registry, repeats, secrets)
-from tessera.llm.common import table
+from tessera.llm.common import CLEANUP, cut, table
 
 PROSE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
 
@@ -414,6 +415,23 @@ def near_lines(seed, groups, words=9):
     return out
 
 
+def test_shuffles_go_with_the_checkpoint(spark):
+    """A checkpoint leaves no shuffle behind: what led to it takes no disk beside what follows."""
+    jsc = spark.sparkContext._jsc.sc()
+    dirs = [d.getPath() for d in jsc.env().blockManager().diskBlockManager().localDirs()]
+    held = lambda: {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before, setting = held(), spark.conf.get(CLEANUP)
+    grouped = spark.range(5000).groupBy((F.col("id") % 100).alias("k")).agg(F.count("*").alias("n"))
+    first = cut(grouped)
+    for _ in range(100):
+        if not held() - before:
+            break
+        time.sleep(0.1)
+    assert not held() - before
+    assert first.count() == grouped.count() == 100 and grouped.agg(F.sum("n")).first()[0] == 5000
+    assert spark.conf.get(CLEANUP) == setting
+
+
 def test_lines_hot_bucket(spark):
     rows = list(enumerate(near_lines(4, 300)))
     lines = line_dedup._lines(docs_of(spark, [(i, t, "en", "a") for i, t in rows]))
