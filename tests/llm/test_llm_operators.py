@@ -321,6 +321,34 @@ def test_every_character_has_its_own_spelling(spark):
     assert got[1][0] < 0.8 * got[2][0]
 
 
+def test_scores_come_from_the_sharded_tables(spark, monkeypatch):
+    """Slices are scored by joins with the count tables: no task makes the whole table and no order is collected."""
+    rows = [(i, prose(i, 60), "en", "a") for i in range(40)]
+    model = quality_lm.train(docs_of(spark, rows))
+    odd = [*rows[:5], (None, prose(77, 30), None, None), (50, None, "en", "a"), (51, "", "en", "a"), (52, "日本 􀀀" + rows[0][1], "ja", "a"), rows[0]]
+
+    def no(*_):
+        raise AssertionError("the model was collected")
+
+    def found(rows):
+        out = quality_lm.scores(docs_of(spark, rows), model).collect()
+        return sorted(((r.text or "", r["__chars"], round(r["__nats"], 3)) for r in out), key=str)
+
+    with monkeypatch.context() as m:
+        m.setattr(quality_lm, "log_prob", no)
+        m.setattr(quality_lm.Model, "__missing__", no)
+        one = found(odd)
+        m.setattr(quality_lm, "SLICE", 200)
+        assert found(odd) == one and found([(50, None, "en", "a")]) == [("", 0, 0.0)]
+        assert [k for k in model if k != "symbols"] == []
+    lp, place = quality_lm.log_prob(model), {c: i + 1 for i, c in enumerate(model["symbols"])}
+    spelled = lambda t: [x for c in map(ord, t) for x in ([place[c]] if c in place else [0, c >> 18, c >> 12 & 63, c >> 6 & 63, c & 63])]
+    for text, chars, nats in one:
+        s, first = spelled("\n\n\n" + text), len(spelled("\n\n\n"))
+        want = -sum(float(lp[sum(v * 64 ** (3 - k) for k, v in enumerate(s[j - 3:j + 1]))]) for j in range(first, len(s)))
+        assert chars == len(text) and abs(nats - want) < 1e-3 * max(want, 1)
+
+
 def test_every_language_has_its_own_limit(spark, monkeypatch):
     docs = docs_of(spark, [(i, prose(i, 20) if i % 2 else prose(i, 20).upper(), "en" if i % 2 else "de", "a") for i in range(600)])
     labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
