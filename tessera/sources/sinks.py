@@ -21,14 +21,15 @@ def write_corpus(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "er
     return path
 
 
-def write_report(parts: dict[str, DataFrame], directory: str, fmt: str = "json", mode: str = "errorifexists") -> dict:
+def write_report(parts: dict[str, DataFrame], directory: str, fmt: str = "json", mode: str = "errorifexists",
+                 compression: str | None = None) -> dict:
     """One dataset per report part (dataset info, issues, duplicates, statistics...), as one version of ``directory``.
 
     A failure between parts leaves the last whole version the one that readers see. Gives each
     part's path; ``versions.read_part`` finds the last one's. With ``errorifexists`` a folder that
     has a version is refused; ``append`` and ``overwrite`` add one (old ones stay until cleaned).
     """
-    return V.write_version(parts, directory, fmt, mode).paths
+    return V.write_version(parts, directory, fmt, mode, compression).paths
 
 
 def write_failures(rows: DataFrame, header: DataFrame, directory: str, mode: str = "errorifexists",
@@ -42,9 +43,10 @@ def write_failures(rows: DataFrame, header: DataFrame, directory: str, mode: str
 def write_eval(cases: DataFrame, report: DataFrame | Callable[[DataFrame], DataFrame], directory: str, mode: str = "errorifexists") -> dict:
     """The full nested evaluation: cases (structs and lists kept) and the report row.
 
-    ``report`` may be a function of the cases; it gets them as written, so they are evaluated once."""
+    ``report`` may be a function of the cases; it gets them as written, so they are evaluated once.
+    A case holds its query in several forms, so the JSON Lines are written as gzip: one file a task."""
     later = (lambda written: report(written["cases"])) if callable(report) else report
-    return write_report({"cases": cases, "report": later}, directory, "json", mode)
+    return write_report({"cases": cases, "report": later}, directory, "json", mode, "gzip")
 
 
 def write_dedup(df: DataFrame, source_path: str, path: str, fmt: str = "parquet") -> str:

@@ -48,11 +48,12 @@ def last_version(spark: SparkSession, directory: str) -> Version | None:
 
 
 def write_version(parts: dict[str, DataFrame | Callable[[dict[str, DataFrame]], DataFrame]], directory: str, fmt: str = "json",
-                  mode: str = "append") -> Version:
+                  mode: str = "append", compression: str | None = None) -> Version:
     """Write all parts, then the manifest row that makes them the last version.
 
     A part may be a function of the parts written before it, read back from where they were
     written, so that what they cost is not spent again. The first part is a DataFrame.
+    ``compression`` is the format's own option; readers tell it from the files' names.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -67,7 +68,7 @@ def write_version(parts: dict[str, DataFrame | Callable[[dict[str, DataFrame]],
     written, wanted = {}, any(callable(df) for df in parts.values())
     for p, df in parts.items():
         df = df(written) if callable(df) else df
-        df.write.format(fmt).save(paths[p])
+        df.write.format(fmt).options(**({"compression": compression} if compression else {})).save(paths[p])
         if wanted:
             written[p] = spark.read.schema(df.schema).format(fmt).load(paths[p])
     row = spark.range(1).select(F.lit(name).alias("name"), F.lit(fmt).alias("format"),

@@ -1,6 +1,7 @@
 """JSON arrays read in pieces, and versioned folders."""
 
 import json
+import os
 import random
 
 import pytest
@@ -91,6 +92,15 @@ def test_report_of_written_cases(spark, tmp_path):
     assert report.n == 13 and abs(report.x - sum(x for _, x, _ in want if x is not None)) < 1e-9
 
 
+def test_eval_is_written_compressed(spark, tmp_path):
+    cases = spark.range(3000).selectExpr("id", "repeat('MATCH (u:User) RETURN u ', 40) AS query", "IF(id % 3 = 0, NULL, 'é\n\"') AS e")
+    paths = SK.write_eval(cases, lambda c: c.agg(F.count("e").alias("n")), str(tmp_path / "e"))
+    files = [os.path.join(paths["cases"], f) for f in os.listdir(paths["cases"]) if f.startswith("part-")]
+    assert files and sum(map(os.path.getsize, files)) < 3000 * 1000 / 5
+    assert sorted(map(tuple, spark.read.schema(cases.schema).json(paths["cases"]).collect())) == sorted(map(tuple, cases.collect()))
+    assert V.read_part(spark, str(tmp_path / "e"), "report").first().n == 2000
+
+
 def test_dedup_in_place(spark, tmp_path):
     d = str(tmp_path / "corpus")
     df = spark.createDataFrame([(1, "a  b"), (2, "a b"), (3, "c")], "id long, query string")
