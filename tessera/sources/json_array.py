@@ -30,9 +30,11 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _depth(tokens: Column, inside: int) -> Column:
-    """Change of depth over every second token."""
+    """(change, turns): change of depth over every second token, and whether a bracket opens right after one
+    that closes, which no JSON has without a comma."""
     only = F.regexp_replace(F.array_join(F.filter(tokens, lambda t, i: i % 2 == inside), ""), r"[^\[\]{}]", "")
-    return (2 * F.length(F.regexp_replace(only, r"[\]}]", "")) - F.length(only)).cast("long")
+    change = (2 * F.length(F.regexp_replace(only, r"[\]}]", "")) - F.length(only)).cast("long")
+    return F.struct(change.alias("change"), only.rlike(r"[\]}][\[{]").alias("turns"))
 
 
 def _running(rows: DataFrame, value: str, name: str) -> DataFrame:
@@ -48,27 +50,27 @@ def array_entries(spark: SparkSession, path: str) -> DataFrame:
     """(id, entry): the index and the text of each entry of the array file(s) at ``path``."""
     from ..plans.session import checkpointed
 
-    # a file of no bytes gives no piece that could tell
-    if not spark.read.format("binaryFile").load(path).filter("length = 0").isEmpty():
-        raise ValueError("The corpus file is not a JSON array")
     plain = F.regexp_replace("piece", r"(?s)\\.", "")
     tokens = F.split(plain, '"', -1)
     outside, inside = _depth(F.col("tokens"), 0), _depth(F.col("tokens"), 1)
     pieces = checkpointed(_pieces(spark, path))
+    # a file of no bytes gives no piece that could tell
+    if pieces.select("file").distinct().count() < len(spark.read.text(path).inputFiles()):
+        raise ValueError("The corpus file is not a JSON array")
     state = (pieces.select(*_SPLIT, "at", tokens.alias("tokens"))
              .select(*_SPLIT, "at", (F.size("tokens") - 1).cast("long").alias("quotes"), outside.alias("outside"), inside.alias("inside")))
     # narrow rows from here on; the texts join them at the end
     state = checkpointed(_running(state, "quotes", "before").select(
-        *_SPLIT, "at", F.when(F.col("before") % 2 == 0, F.col("outside")).otherwise(F.col("inside")).alias("change"),
-        ((F.col("before") + F.col("quotes")) % 2 == 0).alias("plain")))
+        *_SPLIT, "at", F.when(F.col("before") % 2 == 0, F.col("outside")).otherwise(F.col("inside")).alias("state"),
+        ((F.col("before") + F.col("quotes")) % 2 == 0).alias("plain")).select(*_SPLIT, "at", "state.change", "state.turns", "plain"))
     depth = _running(state, "change", "before").withColumn("depth", F.col("before") + F.col("change"))
     depth = depth.withColumn("ends", (F.col("plain") & (F.col("depth") == 1)).cast("long"))
-    placed = checkpointed(_running(depth.select(*_SPLIT, "at", "before", "depth", "plain", "ends"), "ends", "id"))
+    placed = checkpointed(_running(depth.select(*_SPLIT, "at", "before", "depth", "plain", "turns", "ends"), "ends", "id"))
     last = placed.groupBy("file").agg(
         F.max_by(F.struct("split", "at", "depth", "plain"), F.struct("split", "at")).alias("end"),
         F.min_by(F.struct("split", "at"), F.struct("split", "at")).alias("begin"),
         # within the array the depth is 1 or more after every piece but the last
-        F.count_if(F.col("plain") & (F.col("depth") < 1)).alias("closed"), F.count_if(F.col("depth") < 0).alias("below"))
+        F.count_if(F.col("plain") & (F.col("depth") < 1)).alias("closed"), F.count_if((F.col("depth") < 0) | F.col("turns")).alias("below"))
     here = F.struct("split", "at")
     whole = placed.join(last, "file").join(pieces, [*_SPLIT, "at"])
     text = F.trim("piece", F.lit(_BLANK))
